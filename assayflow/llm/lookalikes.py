@@ -64,6 +64,7 @@ def canonical_members(mapped: DataFrame) -> DataFrame:
 
 def consistent(rows: DataFrame) -> DataFrame:
     """``rows`` (origin, row_id, value) -> origin, row_id, value, canonical of every value that differs from it."""
+    rows = rows.select("origin", "row_id", "value")
     mapped = classes(rows)
     best = canonical_members(mapped)
     odd = mapped.where("odd").withColumn("class", F.collate(F.col("mapped"), "UNICODE"))
