@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import table
-from . import lookalikes
+from . import lookalikes, truncation
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +17,25 @@ def p1_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.consistent(lookalikes.long_values(table(spark, sf_dir, "kinetics"), table(spark, sf_dir, "sentences")))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_cells(spark, sf_dir).select("kin_id", "field")
+
+
+def p7_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that lost their end, with the reason."""
+    return truncation.cut_cells(table(spark, sf_dir, "kinetics"))
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source truncates, by field."""
+    return truncation.cut_shares(table(spark, sf_dir, "kinetics"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_consistent": p1_consistent,
+    "p7_found": p7_found,
+    "p7_cells": p7_cells,
+    "p7_shares": p7_shares,
 }
 ORACLE: dict[str, str] = {}
