@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import table
-from . import lookalikes, truncation
+from . import lookalikes, residue, truncation
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,11 +31,22 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.cut_shares(table(spark, sf_dir, "kinetics"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue_docs(table(spark, sf_dir, "documents")).select("doc_id")
+
+
+def p10_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus without residue."""
+    return residue.without_residue(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_consistent": p1_consistent,
     "p7_found": p7_found,
     "p7_cells": p7_cells,
     "p7_shares": p7_shares,
+    "p10_found": p10_found,
+    "p10_clean": p10_clean,
 }
 ORACLE: dict[str, str] = {}
