@@ -99,7 +99,8 @@ def _narrow_signs(s: str) -> str:
     return "".join(out)
 
 
-def _one_script(s: str) -> str:
+def one_script(s: str) -> str:
+    """Every letter from the script its word is written in; the length stays."""
     cyr, gre = _CYRILLIC.search(s), _GREEK.search(s)
     if not cyr and not gre:
         return s
@@ -158,5 +159,5 @@ def canonical_form(s: str | None) -> str | None:
     t = unicodedata.normalize("NFC", s.translate(_COMPAT))
     if "º" in t:
         t = _ORDINAL.sub(lambda m: (m.group(1) or "") + "°", t)
-    t = _one_script(_narrow_signs(t))
+    t = one_script(_narrow_signs(t))
     return unicodedata.normalize("NFC", t)
