@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import table
-from . import lookalikes, residue, truncation
+from . import lookalikes, residue, sentences, truncation
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,9 +40,29 @@ def p10_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.without_residue(table(spark, sf_dir, "documents"))
 
 
+def _unscanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(origin, row_id, text) of the paragraphs and sentence rows that were not read from a scan."""
+    blocks = table(spark, sf_dir, "blocks").where("kind = 'paragraph' AND NOT coalesce(ocr, false)")
+    rows = table(spark, sf_dir, "sentences").where("NOT coalesce(ocr, false)")
+    return blocks.select(F.lit("blocks").alias("origin"), F.col("block_key").alias("row_id"), "text").unionByName(
+        rows.select(F.lit("sentences").alias("origin"), F.col("sent_key").alias("row_id"), "text")
+    )
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.starts(_unscanned(spark, sf_dir), F.col("text")).select("origin", "row_id", "next_start")
+
+
+def p5_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sentence units of each text with their offsets."""
+    return sentences.units(_unscanned(spark, sf_dir), "text", ["origin", "row_id"])
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_consistent": p1_consistent,
+    "p5_found": p5_found,
+    "p5_units": p5_units,
     "p7_found": p7_found,
     "p7_cells": p7_cells,
     "p7_shares": p7_shares,
