@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import table
-from . import lookalikes, residue, sentences, truncation
+from . import canonical, lookalikes, residue, sentences, truncation
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,16 @@ def p1_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.consistent(lookalikes.long_values(table(spark, sf_dir, "kinetics"), table(spark, sf_dir, "sentences")))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mapped = canonical.map_values(table(spark, sf_dir, "records"), table(spark, sf_dir, "reference_terms"))
+    return mapped.select("record_id", "field", "term_id")
+
+
+def p2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values without an entry, with their number."""
+    return canonical.unmatched_report(canonical.map_values(table(spark, sf_dir, "records"), table(spark, sf_dir, "reference_terms")))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_cells(spark, sf_dir).select("kin_id", "field")
 
@@ -61,6 +71,8 @@ def p5_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_consistent": p1_consistent,
+    "p2_found": p2_found,
+    "p2_unmatched": p2_unmatched,
     "p5_found": p5_found,
     "p5_units": p5_units,
     "p7_found": p7_found,
