@@ -25,10 +25,14 @@ found; very long texts are read whole; extra columns are kept by ``without_resid
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..runtime import materialise
@@ -74,7 +78,7 @@ _FILLER = [
     r"\bclick to (?:add|edit)\b", r"\bbody copy to follow\b", r"\breplace this (?:paragraph|text|sentence|section)\b", r"\btest document used to\b", r"\bhier steht (?:ihr|der|dein) text\b",
     r"\b(?:votre texte ici|saisissez votre texte|texte à remplacer)\b", r"\b(?:su texto aquí|escriba aquí|texto de ejemplo)\b", r"(?:введите текст|текст-заполнитель|здесь будет текст)",
     r"此处(?:填写|输入)|占位文本", r"ここに.{0,12}(?:入力|記入)|ダミーテキスト", r"여기에.{0,12}입력|예시 텍스트", r"اكتب (?:النص|هنا)|نص تجريبي", r"यहाँ.{0,14}लिखें|नमूना पाठ",
-    r"^\W*(?:tbd|todo|tba|n\.?n\.?)\W*$", r"^(?:heading|title|section|caption|text) \d+$", r"\b(\p{L}{2,})(?:\s+\1\b){3,}", r"\b(?:asdf|qwer|jkl|foo bar|blah blah)\b", r"^[x.\s]*x{3,}[x.\s]*$",
+    r"^\W*(?:tbd|todo|tba|n\.?n\.?)\W*$", r"^(?:heading|title|section|caption|text) \d+$", r"\b(?:asdf|qwer|jkl|foo bar|blah blah)\b", r"^[x.\s]*x{3,}[x.\s]*$",
 ]
 #: Error messages and notices that scripts are required, in the corpus's languages.
 _NOTICE = [
@@ -90,8 +94,61 @@ _NOTICE = [
 ]
 
 
-def _any(patterns: list[str]) -> str:
-    return "(?iu)" + "|".join(f"(?:{p})" for p in patterns)
+# What every notice or filler phrase above has at least one of, lower case.
+_CUES = (
+    "script|error|not found|forbidden|unauthorized|bad gateway|unavailable|too many requests|denied|permission|no longer exists|has moved|does not exist|could not be found|"
+    "was not found|not available|cannot be displayed|expired|sign in|wait |try again|maintenance|browser|request id|reference code|went wrong|loading|reload|viewer|traceback|"
+    "file \"|exception|at |null |html>|head>|body>|title>|h1>|time-out|timeout|nicht gefunden|verweigert|existiert nicht mehr|melden sie|abgelaufen|anfragen von|introuvable|"
+    "accès refusé|existe plus|expiré|vous connecter|no encontrada|denegado|ya no existe|caducado|expirado|inicie|не найдена|запрещ|закрыт|удалена|ошибка сервера|сеанс|页面|网页|首页|"
+    "服务器|稍后|访问被|请登录|見つかりません|urlを確認|アクセスが|サーバーエラー|ログイン|セッション|찾을 수 없|거부|서버 오류|로그인|الصفحة|العثور|الوصول|الخادم|पृष्ठ|अस्वीकृत|सर्वर|"
+    "text|dummy|placeholder|filler|goes here|type your|click to|body copy|replace this|test document|texte|texto|escriba|введите|здесь будет|此处|占位|ここに|ダミー|여기에|예시|اكتب|تجريبي|"
+    "यहाँ|नमूना|tbd|todo|tba|n.n|heading |title |section |caption |asdf|qwer|jkl|foo bar|blah|xxx"
+).split("|")
+_PARTS = re.compile(r"(?<=[.!?。！？।؟])\s+|(?<=[。！？])|\n+")
+_RESIDUE = re.compile("|".join(f"(?:{p})" for p in _NOTICE + _FILLER), re.IGNORECASE)
+_SENTENCE_END = re.compile(r"[.!?。！？।؟…]['\"”’»)\]]*\s*$")
+
+
+@lru_cache(maxsize=1)
+def _cues():
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    for w in _CUES:
+        found.add_word(w, w)
+    found.make_automaton()
+    return found
+
+
+def _is_residue(part: str, cues) -> bool:
+    low = part.lower()
+    if next(cues.iter(low), None) is not None and _RESIDUE.search(part):
+        return True
+    words = low.split()
+    return len(words) > 3 and len(set(words)) == 1
+
+
+def trusted(text: str) -> bool:
+    """The text consists of notices, error messages or filler, with at most a title or menu around them.
+
+    At most three tenths as much content (sentences of some length that are no residue) may
+    stand beside them.
+    """
+    cues = _cues()
+    if len(text) > 80 and next(cues.iter(text.lower()), None) is None:
+        return False
+    bad = content = every = 0
+    for part in _PARTS.split(text):
+        if not part or part.isspace():
+            continue
+        every += 1
+        if _is_residue(part, cues):
+            bad += len(part)
+        elif len(part) >= 12 and _SENTENCE_END.search(part):
+            content += len(part)
+            if content > 0.3 * (len(text) - content):
+                return False
+    return bad > 0 and content <= 0.3 * bad and len(text) <= 6 * bad + 120
 
 
 def _text(c: str = "text") -> Column:
@@ -129,54 +186,59 @@ def dummy_docs(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     return documents.where(_text().rlike(_DUMMY_RUN)).select(F.col(key).alias("doc_id"))
 
 
-def trusted(text: Column) -> Column:
-    """The text consists of notices, error messages or filler, with at most a title or menu around them."""
-    parts = F.filter(F.split(text, r"(?<=[.!?。！？।؟])\s+|(?<=[。！？])|\n+"), lambda p: F.length(F.trim(p)) > 0)
-    residue = _any(_NOTICE + _FILLER)
-    bad = F.filter(parts, lambda p: p.rlike(residue))
-    # content: a sentence of some length that is no residue
-    content = F.filter(parts, lambda p: ~p.rlike(residue) & p.rlike(r"[.!?。！？।؟…]['\"”’»)\]]*\s*$") & (F.length(p) >= 12))
-    size = lambda a: F.aggregate(a, F.lit(0), lambda s, p: s + F.length(p))
-    return (F.size(bad) > 0) & (size(content) <= size(bad) * 0.3) & (size(parts) <= size(bad) * 6 + 120)
+# ------------------------------------------------------------------ near-duplicates
 
 
-# ------------------------------------------------------------------ near-duplicates
+_WORD = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|(?:[^\W_]|[\u0300-\u036f\u0610-\u065f\u0900-\u0963])+")
+_DIGITS = re.compile(r"\d+")
 
 
-def _words(text: Column) -> Column:
+def words(text: str) -> list[str]:
     """Lower-case words; a letter of a script without spaces is a word; digits are one sign."""
-    plain = F.regexp_replace(F.lower(text), r"\p{Nd}+", "0")
-    return F.regexp_extract_all(plain, F.lit(r"([぀-ヿ㐀-鿿]|[\p{L}\p{M}\p{Nd}]+)"), 1)
+    return _WORD.findall(_DIGITS.sub("0", text.lower()))
 
 
-def _shingles(words: Column) -> Column:
+def shingles(text: str) -> list[int]:
+    """Sorted distinct 64-bit hashes of the runs of five words (of all words where they are fewer)."""
+    w = words(text)
     k = WORDS_PER_SHINGLE
-    many = F.transform(F.sequence(F.lit(1), F.size(words) - (k - 1)), lambda i: F.xxhash64(F.array_join(F.slice(words, i, k), " ")))
-    return F.array_distinct(F.when(F.size(words) >= k, many).otherwise(F.array(F.xxhash64(F.array_join(words, " ")))))
+    runs = {" ".join(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {" ".join(w)}
+    return sorted(xxhash.xxh64_intdigest(r) for r in runs)
 
 
-@F.pandas_udf(T.LongType())
-def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """64-bit SimHash of an array of 64-bit shingle hashes."""
-    for hashes in batches:
-        out = np.zeros(len(hashes), dtype=np.int64)
-        for i, h in enumerate(hashes):
-            bits = np.unpackbits(np.asarray(h, dtype=np.int64).view(np.uint8).reshape(-1, 8), axis=1)
-            out[i] = np.packbits(bits.sum(axis=0) * 2 > len(bits)).view(np.int64)[0]
-        yield pd.Series(out)
+def simhash(hashes: list[int]) -> int:
+    """64-bit SimHash, as a signed number."""
+    bits = np.unpackbits(np.array(hashes, dtype=np.uint64).view(np.uint8).reshape(-1, 8), axis=1)
+    return int(np.packbits(bits.sum(axis=0) * 2 > len(bits)).view(np.int64)[0])
 
 
-def classes(documents: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(members: doc_id, class), (reps: class, text, hash, n_shingles): documents of equal normalised words are one class.
+_FINGERPRINT = T.StructType(
+    [T.StructField("class", T.StringType()), T.StructField("hash", T.LongType()), T.StructField("n_shingles", T.IntegerType()), T.StructField("trusted", T.BooleanType())]
+)
 
-    The class is the 128-bit digest of the words. Texts without words (null, blank) have none.
+
+@F.pandas_udf(_FINGERPRINT)
+def fingerprint(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for texts in batches:
+        rows = []
+        for t in texts:
+            h = shingles(t)
+            rows.append((hashlib.md5(" ".join(words(t)).encode()).hexdigest(), simhash(h), len(h), trusted(t)))
+        yield pd.DataFrame(rows, columns=["class", "hash", "n_shingles", "trusted"])
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def shingle_set(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: np.array(shingles(t), dtype=np.uint64).view(np.int64))
+
+
+def classes(documents: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(doc_id, class, hash, n_shingles, trusted): documents of equal normalised words are one class.
+
+    Null and blank texts have no row.
     """
-    texts = documents.where("text IS NOT NULL AND length(trim(text)) > 0").select(F.col(key).alias("doc_id"), _text().alias("text"))
-    digest = F.md5(F.array_join(_words(F.col("text")), " "))
-    members = texts.select("doc_id", digest.alias("class"), "text")
-    reps = members.groupBy("class").agg(F.min_by("text", "doc_id").alias("text"))
-    shingled = reps.withColumn("shingles", _shingles(_words(F.col("text"))))
-    return members.select("doc_id", "class"), shingled.select("class", "text", simhash("shingles").alias("hash"), F.size("shingles").alias("n_shingles"))
+    texts = documents.where(_text().rlike(r"[^\s\p{Z}]")).select(F.col(key).alias("doc_id"), _text().alias("text"))
+    return texts.select("doc_id", fingerprint("text").alias("f")).select("doc_id", "f.*")
 
 
 def _tables(reps: DataFrame, probe: bool) -> DataFrame:
@@ -190,8 +252,11 @@ def _tables(reps: DataFrame, probe: bool) -> DataFrame:
     return reps.select("class", "hash", "n_shingles", F.explode(near).alias("bucket"), F.expr(f"array({bands})").alias("b")).selectExpr("class", "hash", "n_shingles", "bucket", "inline(b)")
 
 
-def propagate(reps: DataFrame, labelled: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """(class): ``labelled`` classes and every class connected with them by near-duplicate links."""
+def propagate(reps: DataFrame, texts: DataFrame, labelled: DataFrame, max_rounds: int = 50) -> DataFrame:
+    """(class): ``labelled`` classes and every class connected with them by near-duplicate links.
+
+    ``reps`` has class, hash and n_shingles, ``texts`` the text of each class.
+    """
     found = materialise(labelled.select("class").distinct(), "residue-round")
     frontier = found
     tables = _tables(reps, probe=False)
@@ -207,8 +272,11 @@ def propagate(reps: DataFrame, labelled: DataFrame, max_rounds: int = 50) -> Dat
             .distinct()
             .join(found, "class", "left_anti")
         )
-        sh = reps.select(F.col("class"), _shingles(_words(F.col("text"))).alias("s"))
-        both = pairs.join(sh, "class").join(sh.select(F.col("class").alias("a"), F.col("s").alias("sa")), "a")
+        pairs = materialise(pairs, "residue-pairs")
+        if pairs.isEmpty():
+            break
+        sets = texts.join(pairs.select("class").unionByName(pairs.select(F.col("a").alias("class"))).distinct(), "class", "left_semi").select("class", shingle_set("text").alias("s"))
+        both = pairs.join(sets, "class").join(sets.select(F.col("class").alias("a"), F.col("s").alias("sa")), "a")
         common = F.size(F.array_intersect("s", "sa"))
         alike = common >= MIN_SIMILARITY * (F.size("s") + F.size("sa") - common)
         new = materialise(both.where(alike).select("class").distinct(), "residue-round")
@@ -221,9 +289,11 @@ def propagate(reps: DataFrame, labelled: DataFrame, max_rounds: int = 50) -> Dat
 
 def residue_docs(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     """(doc_id, reason): placeholder, dummy text, residue (trusted or linked to a trusted class)."""
-    members, reps = classes(documents, key)
-    reps = materialise(reps, "residue-classes")  # hashed once, scanned every round
-    linked = propagate(reps, reps.where(trusted(F.col("text"))))
+    members = materialise(classes(documents, key), "residue-members")  # hashed once, scanned every round
+    reps = members.groupBy("class").agg(F.min("hash").alias("hash"), F.min("n_shingles").alias("n_shingles"), F.min("doc_id").alias("doc_id"), F.max("trusted").alias("trusted"))
+    reps = materialise(reps, "residue-classes")
+    texts = documents.select(F.col(key).alias("doc_id"), _text().alias("text")).join(reps.select("class", "doc_id"), "doc_id").select("class", "text")
+    linked = propagate(reps, texts, reps.where("trusted"))
     whole = members.join(linked, "class", "left_semi").select("doc_id")
     parts = [(whole, "residue"), (dummy_docs(documents, key), "dummy"), (placeholder_docs(documents, key), "placeholder")]
     out = None

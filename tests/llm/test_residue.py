@@ -41,11 +41,10 @@ def test_residue_and_look_alikes(spark):
 def test_label_spreads_to_near_duplicates(spark):
     words = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
     seed = f"Please enable JavaScript to view this article. {words}"
-    reps = spark.createDataFrame([("a", seed), ("b", seed + " extra"), ("c", seed + " extra more"), ("d", LONG)], "class string, text string")
-    from pyspark.sql import functions as F
-
-    hashed = reps.withColumn("s", rs._shingles(rs._words(F.col("text")))).select("class", "text", rs.simhash("s").alias("hash"), F.size("s").alias("n_shingles"))
-    got = {r["class"] for r in rs.propagate(hashed, reps.where("class = 'a'")).collect()}
+    texts = {"a": seed, "b": seed + " extra", "c": seed + " extra more", "d": LONG}
+    hashes = {k: rs.shingles(t) for k, t in texts.items()}
+    reps = spark.createDataFrame([(k, rs.simhash(h), len(h)) for k, h in hashes.items()], "class string, hash bigint, n_shingles int")
+    got = {r["class"] for r in rs.propagate(reps, spark.createDataFrame(list(texts.items()), "class string, text string"), reps.where("class = 'a'")).collect()}
     assert got == {"a", "b", "c"}
 
 
