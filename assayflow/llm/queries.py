@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import table
-from . import canonical, lookalikes, residue, sentences, truncation
+from . import canonical, encoding, lookalikes, mixing, residue, sentences, truncation
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,20 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.cut_shares(table(spark, sf_dir, "kinetics"))
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.encode(table(spark, sf_dir, "documents"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The selection of every mix with the uses of each document."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual shares of every mix."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue_docs(table(spark, sf_dir, "documents")).select("doc_id")
 
@@ -78,6 +92,9 @@ QUERIES = {
     "p7_found": p7_found,
     "p7_cells": p7_cells,
     "p7_shares": p7_shares,
+    "p8_ids": p8_ids,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_clean": p10_clean,
 }
