@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import table
-from . import canonical, encoding, lookalikes, mixing, residue, sentences, truncation
+from . import canonical, encoding, lookalikes, mixing, residue, scans, sentences, truncation
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,16 @@ def p10_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.without_residue(table(spark, sf_dir, "documents"))
 
 
+def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scanned text with its continuous readable form and its damages."""
+    scanned, clean = scans.split_origins(*[table(spark, sf_dir, t) for t in ("blocks", "sentences", "figures")])
+    return scans.repaired(scanned, clean)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_repaired(spark, sf_dir).select("origin", "row_id", F.explode("damages").alias("damage"))
+
+
 def _unscanned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(origin, row_id, text) of the paragraphs and sentence rows that were not read from a scan."""
     blocks = table(spark, sf_dir, "blocks").where("kind = 'paragraph' AND NOT coalesce(ocr, false)")
@@ -87,6 +97,8 @@ QUERIES = {
     "p1_consistent": p1_consistent,
     "p2_found": p2_found,
     "p2_unmatched": p2_unmatched,
+    "p3_found": p3_found,
+    "p3_repaired": p3_repaired,
     "p5_found": p5_found,
     "p5_units": p5_units,
     "p7_found": p7_found,
