@@ -22,13 +22,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.charforms import PLAIN_CLASS, canonical_form
+from ..runtime import materialise
 
 #: East Asian signs that have the form only beside East Asian letters; beside them they are plain.
 _WIDE_OK = "，：！？（）；"
 _NOT_PLAIN = f"[^{PLAIN_CLASS}]"
+_CONTROL = r"[\x00-\x09\x0B\x0C\x0E-\x1F\x7F]"
+
+
+def is_odd(value: Column) -> Column:
+    """The value has a character that is not plain; the large class only sees what is not ASCII."""
+    ascii_only = F.octet_length(value) == F.length(value)
+    rest = F.regexp_replace(value, r"[\n\r\x20-\x7E]+", "")
+    return F.when(ascii_only, value.rlike(_CONTROL)).otherwise(rest.rlike(_NOT_PLAIN))
 
 
 @F.pandas_udf(T.StringType())
@@ -38,38 +47,28 @@ def look_alike_form(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([canonical_form(t) if isinstance(t, str) else None for t in texts], dtype=object)
 
 
-def classes(values: DataFrame) -> DataFrame:
-    """(value, canonical) for every distinct value of column ``value`` that is not plain.
+def canonical_members(counted: DataFrame, odd: DataFrame) -> DataFrame:
+    """(class, canonical): one member per class under Unicode collation that holds an odd value.
 
-    Plain values belong to classes too: they decide, by their number, which member of a
-    class is canonical.
+    ``counted`` has every distinct value with its number, ``odd`` the values that are not
+    plain with their look-alike form. Plain values take part where a form equals them: they
+    decide, by their number, which member is canonical.
     """
-    counted = values.where("value IS NOT NULL").groupBy("value").agg(F.count("*").alias("n"))
-    odd = F.col("value").rlike(_NOT_PLAIN)
-    mapped = counted.select("value", "n", odd.alias("odd"), look_alike_form(F.when(odd, F.col("value"))).alias("form")).withColumn(
-        "mapped", F.coalesce("form", "value")
-    )
-    return mapped
-
-
-def canonical_members(mapped: DataFrame) -> DataFrame:
-    """(mapped, canonical): one member per class of mapped values under Unicode collation."""
-    by_form = mapped.groupBy("mapped").agg(F.sum("n").alias("n"), F.max("odd").alias("odd"))
-    key = F.collate(F.col("mapped"), "UNICODE")
-    best = by_form.withColumn("class", key).groupBy("class").agg(
-        F.min_by("mapped", F.struct(-F.col("n"), F.col("mapped"))).alias("canonical"), F.max("odd").alias("odd")
-    )
-    return best.where("odd").select("class", "canonical")
+    forms = odd.groupBy("mapped").agg(F.sum("n").alias("n"))
+    plain = counted.where(~is_odd(F.col("value"))).join(forms.select(F.col("mapped").alias("value")), "value", "left_semi")
+    members = forms.unionByName(plain.select(F.col("value").alias("mapped"), "n"))
+    return members.groupBy(F.collate(F.col("mapped"), "UNICODE").alias("class")).agg(F.min_by("mapped", F.struct(-F.col("n"), F.col("mapped"))).alias("canonical"))
 
 
 def consistent(rows: DataFrame) -> DataFrame:
     """``rows`` (origin, row_id, value) -> origin, row_id, value, canonical of every value that differs from it."""
     rows = rows.select("origin", "row_id", "value")
-    mapped = classes(rows)
-    best = canonical_members(mapped)
-    odd = mapped.where("odd").withColumn("class", F.collate(F.col("mapped"), "UNICODE"))
-    changed = odd.join(best, "class").where(F.col("value") != F.col("canonical")).select("value", "canonical")
-    return rows.where(F.col("value").rlike(_NOT_PLAIN)).join(changed, "value").select("origin", "row_id", "value", "canonical")
+    counted = rows.where("value IS NOT NULL").groupBy("value").agg(F.count("*").alias("n"))
+    odd = counted.where(is_odd(F.col("value"))).select("value", "n", look_alike_form("value").alias("mapped"))
+    odd = materialise(odd, "lookalike-forms")  # mapped once, used twice
+    best = canonical_members(counted, odd)
+    changed = odd.withColumn("class", F.collate(F.col("mapped"), "UNICODE")).join(best, "class").where(F.col("value") != F.col("canonical")).select("value", "canonical")
+    return rows.where(is_odd(F.col("value"))).join(changed, "value").select("origin", "row_id", "value", "canonical")
 
 
 def long_values(kinetics: DataFrame, sentences: DataFrame) -> DataFrame:
