@@ -159,8 +159,8 @@ _add(
 )
 _add(
     "agg08_document_hints",
-    lambda s, d: table(s, d, "sentences").groupBy("paper_id").agg(F.count("*").alias("n"), F.count_if("contains_keyword").alias("n_keyword"), F.count_if("contains_numeric").alias("n_numeric"), F.count_distinct("section").alias("n_sections"), F.round(F.sum("score"), 2).alias("sum_score")),
-    "SELECT paper_id, count(*) AS n, count_if(contains_keyword) AS n_keyword, count_if(contains_numeric) AS n_numeric, count(DISTINCT section) AS n_sections, round(sum(score), 2) AS sum_score FROM sentences GROUP BY 1",
+    lambda s, d: table(s, d, "sentences").groupBy("paper_id").agg(F.count("*").alias("n"), F.count_if("contains_keyword").alias("n_keyword"), F.count_if("contains_numeric").alias("n_numeric"), F.count_distinct("section").alias("n_sections"), F.sum(F.round(F.col("score") * 1000).cast("bigint")).alias("sum_score")),
+    "SELECT paper_id, count(*) AS n, count_if(contains_keyword) AS n_keyword, count_if(contains_numeric) AS n_numeric, count(DISTINCT section) AS n_sections, CAST(sum(CAST(round(score * 1000) AS BIGINT)) AS BIGINT) AS sum_score FROM sentences GROUP BY 1",
 )
 _add(
     "agg09_unique_merge",
