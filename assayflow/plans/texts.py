@@ -171,7 +171,7 @@ _add(
 _PRIO = f"round(kw_score + coalesce(list_sum(list_transform(list_filter(string_split(tags, '|'), lambda t: t <> ''), lambda t: coalesce(({_MAP(banks.TAG_BONUS)})[t], 0.0))), 0.0) + greatest(len(list_filter(string_split(tags, '|'), lambda t: t <> '')) - 1, 0) * 0.8 + ({_MAP(banks.SECTION_BONUS)})[{_SEC}], 2)"
 _add(
     "flt18_sentence_priority",
-    lambda s, d: _sentences(s, d).where("text IS NOT NULL").select("sent_key", tx.sentence_priority(tx.sentence_score(F.col("text"), F.col("section")), tx.tags(F.col("text")), F.col("section")).alias("priority")),
+    lambda s, d: _sentences(s, d).where("text IS NOT NULL").select("sent_key", "section", tx.sentence_score(F.col("text"), F.col("section")).alias("s"), tx.tags(F.col("text")).alias("t")).select("sent_key", tx.sentence_priority(F.col("s"), F.col("t"), F.col("section")).alias("priority")),
     f"SELECT sent_key, CAST({_PRIO} AS DOUBLE) AS priority FROM (SELECT sent_key, section, {_SCORE} AS kw_score, {_TAGS} AS tags FROM sentences WHERE text IS NOT NULL)",
 )
 _SUBS = "(tmb|abts|opd|h2o2|guaiacol|catechol|pyrogallol)"
