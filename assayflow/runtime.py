@@ -22,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the session names none (tests, local mode) a temporary folder of this
     machine is made and stored in the session, so that later calls reuse it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named:
         named = spark.conf.get("assayflow.shared.dir", None)
     if not named:
