@@ -26,6 +26,7 @@ found; very long texts are read whole; extra columns are kept by ``without_resid
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,7 +40,7 @@ from ..runtime import materialise
 
 WORDS_PER_SHINGLE = 5
 MIN_SIMILARITY = 0.8
-BANDS, BAND_BITS = 16, 12
+BANDS, BAND_BITS = 32, 11
 MAX_HAMMING = 20
 
 _NAME = r"[A-Za-z][A-Za-z_]*(?:\.[A-Za-z_]+)*"
@@ -206,6 +207,12 @@ def shingles(text: str) -> list[int]:
     return sorted(xxhash.xxh64_intdigest(r) for r in runs)
 
 
+def prefix(hashes: list[int]) -> np.ndarray:
+    """The least hashes of a set, as many as any set of the needed similarity must share one of."""
+    n = len(hashes)
+    return np.array(hashes[: n - math.ceil(MIN_SIMILARITY * n - 1e-9) + 1], dtype=np.uint64).view(np.int64)
+
+
 def simhash(hashes: list[int]) -> int:
     """64-bit SimHash, as a signed number."""
     bits = np.unpackbits(np.array(hashes, dtype=np.uint64).view(np.uint8).reshape(-1, 8), axis=1)
@@ -213,7 +220,7 @@ def simhash(hashes: list[int]) -> int:
 
 
 _FINGERPRINT = T.StructType(
-    [T.StructField("class", T.StringType()), T.StructField("hash", T.LongType()), T.StructField("n_shingles", T.IntegerType()), T.StructField("trusted", T.BooleanType())]
+    [T.StructField("class", T.StringType()), T.StructField("hash", T.LongType()), T.StructField("n_shingles", T.IntegerType()), T.StructField("trusted", T.BooleanType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
 )
 
 
@@ -223,8 +230,8 @@ def fingerprint(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         rows = []
         for t in texts:
             h = shingles(t)
-            rows.append((hashlib.md5(" ".join(words(t)).encode()).hexdigest(), simhash(h), len(h), trusted(t)))
-        yield pd.DataFrame(rows, columns=["class", "hash", "n_shingles", "trusted"])
+            rows.append((hashlib.md5(" ".join(words(t)).encode()).hexdigest(), simhash(h), len(h), trusted(t), prefix(h)))
+        yield pd.DataFrame(rows, columns=["class", "hash", "n_shingles", "trusted", "prefix"])
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -233,7 +240,7 @@ def shingle_set(texts: pd.Series) -> pd.Series:
 
 
 def classes(documents: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(doc_id, class, hash, n_shingles, trusted): documents of equal normalised words are one class.
+    """(doc_id, class, hash, n_shingles, trusted, prefix): documents of equal normalised words are one class.
 
     Null and blank texts have no row.
     """
@@ -255,11 +262,14 @@ def _tables(reps: DataFrame, probe: bool) -> DataFrame:
 def propagate(reps: DataFrame, texts: DataFrame, labelled: DataFrame, max_rounds: int = 50) -> DataFrame:
     """(class): ``labelled`` classes and every class connected with them by near-duplicate links.
 
-    ``reps`` has class, hash and n_shingles, ``texts`` the text of each class.
+    ``reps`` has class, hash, n_shingles and prefix, ``texts`` the text of each class. Pairs
+    that no SimHash table brings together are found by their least shingles: two sets of the
+    needed similarity share one of these, so no link is lost.
     """
     found = materialise(labelled.select("class").distinct(), "residue-round")
     frontier = found
     tables = _tables(reps, probe=False)
+    least = reps.select("class", "n_shingles", F.explode("prefix").alias("shingle"))
     for _ in range(max_rounds):
         near = _tables(reps.join(frontier, "class", "left_semi"), probe=True).select(
             F.col("class").alias("a"), F.col("hash").alias("ha"), F.col("n_shingles").alias("na"), "bucket", "band", "bits"
@@ -267,10 +277,12 @@ def propagate(reps: DataFrame, texts: DataFrame, labelled: DataFrame, max_rounds
         pairs = (
             near.join(tables, ["band", "bits", "bucket"])
             .where("a <> class AND bit_count(ha ^ hash) <= " + str(MAX_HAMMING))
-            .where(f"least(na, n_shingles) >= {MIN_SIMILARITY} * greatest(na, n_shingles)")
-            .select("a", "class")
-            .distinct()
-            .join(found, "class", "left_anti")
+            .select("a", "class", "na", "n_shingles")
+        )
+        front = least.join(frontier, "class", "left_semi").select(F.col("class").alias("a"), F.col("n_shingles").alias("na"), "shingle")
+        pairs = pairs.unionByName(front.join(least, "shingle").where("a <> class").select("a", "class", "na", "n_shingles"))
+        pairs = (
+            pairs.where(f"least(na, n_shingles) >= {MIN_SIMILARITY} * greatest(na, n_shingles)").select("a", "class").distinct().join(found, "class", "left_anti")
         )
         pairs = materialise(pairs, "residue-pairs")
         if pairs.isEmpty():
@@ -290,7 +302,7 @@ def propagate(reps: DataFrame, texts: DataFrame, labelled: DataFrame, max_rounds
 def residue_docs(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     """(doc_id, reason): placeholder, dummy text, residue (trusted or linked to a trusted class)."""
     members = materialise(classes(documents, key), "residue-members")  # hashed once, scanned every round
-    reps = members.groupBy("class").agg(F.min("hash").alias("hash"), F.min("n_shingles").alias("n_shingles"), F.min("doc_id").alias("doc_id"), F.max("trusted").alias("trusted"))
+    reps = members.groupBy("class").agg(F.min("hash").alias("hash"), F.min("n_shingles").alias("n_shingles"), F.min("doc_id").alias("doc_id"), F.max("trusted").alias("trusted"), F.min("prefix").alias("prefix"))
     reps = materialise(reps, "residue-classes")
     texts = documents.select(F.col(key).alias("doc_id"), _text().alias("text")).join(reps.select("class", "doc_id"), "doc_id").select("class", "text")
     linked = propagate(reps, texts, reps.where("trusted"))

@@ -1,3 +1,5 @@
+from hypothesis import given, settings, strategies as st
+
 from assayflow.llm import residue as rs
 
 SCHEMA = "doc_id bigint, text string, class string, reason string"
@@ -43,7 +45,7 @@ def test_label_spreads_to_near_duplicates(spark):
     seed = f"Please enable JavaScript to view this article. {words}"
     texts = {"a": seed, "b": seed + " extra", "c": seed + " extra more", "d": LONG}
     hashes = {k: rs.shingles(t) for k, t in texts.items()}
-    reps = spark.createDataFrame([(k, rs.simhash(h), len(h)) for k, h in hashes.items()], "class string, hash bigint, n_shingles int")
+    reps = spark.createDataFrame([(k, rs.simhash(h), len(h), rs.prefix(h).tolist()) for k, h in hashes.items()], "class string, hash bigint, n_shingles int, prefix array<bigint>")
     got = {r["class"] for r in rs.propagate(reps, spark.createDataFrame(list(texts.items()), "class string, text string"), reps.where("class = 'a'")).collect()}
     assert got == {"a", "b", "c"}
 
@@ -52,3 +54,14 @@ def test_repeated_rows_and_empty_table(spark):
     _, got = _found(spark, [BAD[0]] * 3)
     assert got == {0, 1, 2}
     assert rs.residue_docs(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.sets(st.integers(0, 2**63 - 1), min_size=1, max_size=60), st.data())
+def test_similar_sets_share_a_least_shingle(a, data):
+    a = sorted(a)
+    gone = data.draw(st.integers(0, len(a) // 5))
+    more = data.draw(st.sets(st.integers(0, 2**63 - 1), max_size=len(a) // 5))
+    b = sorted(set(a[gone:]) | more)
+    if b and len(set(a) & set(b)) >= rs.MIN_SIMILARITY * len(set(a) | set(b)):
+        assert set(rs.prefix(a).tolist()) & set(rs.prefix(b).tolist())
