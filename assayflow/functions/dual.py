@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-B = "(^|[^a-z0-9])"
-E = "([^a-z0-9]|$)"
+B = "(?:^|[^a-z0-9])"
+E = "(?:[^a-z0-9]|$)"
 
 
 def word(*alternatives: str) -> str:
     """Any of the alternatives as whole words of lower-case text."""
-    return f"{B}({'|'.join(alternatives)}){E}"
+    return f"{B}(?:{'|'.join(alternatives)}){E}"
 
 
 def quote(s: str) -> str:

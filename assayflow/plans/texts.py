@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import banks
-from ..functions.dual import E, B, extract, first_label, hit, labels, quote, sql_extract, sql_first_label, sql_hit, sql_labels, sql_replace_all
+from ..functions.dual import extract, first_label, hit, labels, quote, sql_extract, sql_first_label, sql_hit, sql_labels, sql_replace_all
 from ..operators import text as tx
 from ..runtime import table
 
