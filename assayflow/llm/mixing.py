@@ -133,6 +133,13 @@ def _leaf_table(sized: DataFrame) -> DataFrame:
     return sized.groupBy("tokenizer", *LEVELS).agg(F.sum(F.col("n_tokens").cast("bigint")).alias("size"), F.count("*").alias("n_docs"))
 
 
+def _targets(targets: DataFrame) -> DataFrame:
+    """Targets without the rows that name no mix, source or tokenizer; a null number asks for nothing, null repeats for one use."""
+    return targets.where("mix_name IS NOT NULL AND source IS NOT NULL AND tokenizer IS NOT NULL").select(
+        "mix_name", "source", F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.coalesce("max_repeats", F.lit(1)).alias("max_repeats"), F.coalesce("total_ratio", F.lit(0.0)).alias("total_ratio"), "tokenizer"
+    )
+
+
 def plan(sized: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(leaf plan, source plan): uses and rest of every leaf, and the wanted tokens of every source."""
     spark = sized.sparkSession
@@ -140,7 +147,7 @@ def plan(sized: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     if len(stats) > MAX_LEAVES:
         raise ValueError(f"the tree has more than {MAX_LEAVES} leaves")
     mixes: dict[str, list] = {}
-    for r in targets.select("mix_name", "source", "target_share", "max_repeats", "total_ratio", "tokenizer").collect():
+    for r in _targets(targets).collect():
         mixes.setdefault(r["mix_name"], []).append(r)
     leaf_rows, source_rows = [], []
     for mix, rows in mixes.items():
@@ -173,7 +180,7 @@ def plan(sized: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def sized_documents(documents: DataFrame, targets: DataFrame, directory: str | None = None) -> DataFrame:
     """(doc_id, levels, tokenizer, n_tokens) of every document with tokens, written once."""
-    names = sorted(r[0] for r in targets.select("tokenizer").distinct().collect())
+    names = sorted(r[0] for r in _targets(targets).select("tokenizer").distinct().collect())
     if not names:
         names = ["byte_bpe_50k"]
     counts = sizes(documents, names, directory)

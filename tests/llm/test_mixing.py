@@ -42,6 +42,8 @@ def test_shares_and_repeats(spark):
     total = sum(r.n_tokens * r.uses for r in got)
     assert abs(total - shares["big"].wanted_total) <= 50
     assert sum(r.actual_share for r in shares.values()) == pytest.approx(1)
+    odd = targets.unionByName(spark.createDataFrame([(None, "big", 0.5, 2, 0.5, "byte_bpe_50k"), ("m", None, 0.5, 2, 0.5, None), ("n", "big", None, None, None, "byte_bpe_50k")], TARGETS))
+    assert {r.mix_name for r in mx.mix(docs, odd)[0].collect()} == {"m"}
     again = mx.mix(docs, targets)[0].collect()
     assert sorted(again) == sorted(got)
     empty, rep = mx.mix(docs.limit(0), targets)
