@@ -195,8 +195,11 @@ class Matcher:
         """(term_id, cost) of the cheapest hit, or None."""
         every = [t for t in tokens(value) if t not in _STOP]
         plain = [t for t in tokens(re.sub(r"\([^()]*\)", " ", value)) if t not in _STOP]
+        raw = tokens(value)
         found: tuple[float, int] | None = None
-        for ts in ([every] if plain == every or not plain else [every, plain]):
+        for ts in ([every] if plain == every or not plain else [every, plain]) + ([raw] if raw != every else []):
+            if found and ts is raw:
+                break  # stop words only help where nothing else does: one may be a misspelt term
             n = len(ts)
             weight = [0 if t in _NEUTRAL else len(t) for t in ts]
             total = sum(weight)

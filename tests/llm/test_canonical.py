@@ -26,6 +26,7 @@ def test_values():
         "Peroxidase–Like": 1, "peroxidaes miic": 1, "HRP-like peroxidase mimic (main)": 1, "pod": 1, "POD_like": 1, "glutathione peroxidtse like": 5, "glutathione oxidase mimic": 6,
         "gucosee": None, "dismutase of superoxide": 4, "glutathion eoxidase": 6, "XOD-like": None, "urease-like": None, "lipase": None, "": None, "??": None, "oxidase (OXD)-like": 2,
     }
+    assert cn.Matcher([(35, ["ion exchange"])]).best("in exchaange route")[0] == 35
     assert {v: (m.best(v) or (None,))[0] for v in want} == want
 
 
