@@ -34,12 +34,14 @@ _add("jon01_unmatched_papers", lambda s, d: table(s, d, "papers").join(table(s,
 def _best_match(s, d):
     """Each application finds its best partner among the applications of the paper's other records."""
     a = table(s, d, "records").selectExpr("record_id", "paper_id", "posexplode_outer(applications) AS (ord, a)").where("a IS NOT NULL").select("record_id", "paper_id", "ord", F.col("a.target_analyte").alias("analyte"), F.col("a.application_type").alias("kind"))
-    # partners of equal analyte or type only: score 3 for the analyte, 2 for the type
-    right = a.groupBy("paper_id", "analyte", "kind").agg(F.min(F.struct("record_id", "ord")).alias("lo"), F.max(F.struct("record_id", "ord")).alias("hi"))
-    g = right.select(F.col("paper_id").alias("p"), F.col("analyte").alias("an"), F.col("kind").alias("ki"), "lo", "hi")
-    j = a.join(g, (F.col("paper_id") == F.col("p")) & (F.col("analyte").eqNullSafe(F.col("an")) | F.col("kind").eqNullSafe(F.col("ki"))))
-    score = F.coalesce((F.col("analyte") == F.col("an")).cast("int"), F.lit(0)) * 3 + F.coalesce((F.col("kind") == F.col("ki")).cast("int"), F.lit(0)) * 2
-    return j.withColumn("score", score).where("score >= 2 AND lo.record_id <> record_id").groupBy("record_id", "ord").agg(F.max("score").alias("score"), F.min_by("lo.record_id", F.struct(-F.col("score"), F.col("lo.record_id"))).alias("partner"))
+    # score 5 for analyte and type, 3 for the analyte, 2 for the type: one key each
+    arms = ", ".join(f"named_struct('score', {n}, 'an', {an}, 'ki', {ki})" for n, an, ki in ((5, "analyte", "kind"), (3, "analyte", "CAST(NULL AS string)"), (2, "CAST(NULL AS string)", "kind")))
+    keyed = a.selectExpr("record_id", "paper_id", "ord", f"inline(array({arms}))").where("(an IS NOT NULL OR score = 2) AND (ki IS NOT NULL OR score = 3)")
+    # the two lowest records of a key hold the lowest one other than any record
+    order = W.partitionBy("paper_id", "score", "an", "ki").orderBy("record_id")
+    low = keyed.select("paper_id", "score", "an", "ki", "record_id").distinct().withColumn("n", F.row_number().over(order)).where("n <= 2").select(F.col("paper_id").alias("p"), F.col("score").alias("sc"), F.col("an").alias("a2"), F.col("ki").alias("k2"), F.col("record_id").alias("other"))
+    j = keyed.join(low, (F.col("paper_id") == F.col("p")) & (F.col("score") == F.col("sc")) & F.col("an").eqNullSafe(F.col("a2")) & F.col("ki").eqNullSafe(F.col("k2")) & (F.col("record_id") != F.col("other")))
+    return j.groupBy("record_id", "ord").agg(F.max("score").alias("score"), F.min_by("other", F.struct(-F.col("score"), F.col("other"))).alias("partner"))
 
 
 _add(
