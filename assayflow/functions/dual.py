@@ -47,6 +47,11 @@ def extract(c: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
 
+def extract_all(c: Column, pattern: str, group: int = 1) -> Column:
+    """The distinct groups of all matches, none where nothing matches."""
+    return F.array_remove(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), group)), "")
+
+
 def sql_extract(expr: str, pattern: str, group: int = 1) -> str:
     return f"nullif(regexp_extract({expr}, {quote(pattern)}, {group}), '')"
 

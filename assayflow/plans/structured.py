@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.dual import extract
+from ..functions.dual import extract_all
 from ..operators import grouped as gr, nested, text as tx
 from ..runtime import table
 from ..streaming import ingest
@@ -32,7 +32,7 @@ def jon03_caption_images(s, d):
 
 
 def agg13_absorbed_names(s, d):
-    names = table(s, d, "sentences").select("paper_id", extract(F.col("text"), _NAME).alias("name")).where("name IS NOT NULL")
+    names = table(s, d, "sentences").select("paper_id", F.explode(extract_all(F.col("text"), _NAME)).alias("name"))
     return gr.absorb_names(names)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import banks
-from ..functions.dual import extract, first_label, hit, quote, sql_extract, sql_first_label, sql_hit, sql_replace_all
+from ..functions.dual import extract, extract_all, first_label, hit, quote, sql_extract, sql_first_label, sql_hit, sql_replace_all
 from ..operators import extraction as ex, lookups as lk
 from ..runtime import table
 
@@ -197,10 +197,10 @@ _add(
 _NAME = "((?:N-doped |hollow )?(?:Au@|Pt/)?(?:[A-Z][A-Za-z]*[0-9][A-Za-z0-9]*|CuO|CuS|Prussian blue|IrOx|Fe-N-C|Cu-N-C)(?:@SiO2|@C|/rGO|-PEG)?)"
 _add(
     "ext27_material_recall",
-    lambda s, d: table(s, d, "papers").select("paper_id", F.lit("title").alias("source"), extract(F.col("title"), _NAME).alias("name"))
-    .unionByName(table(s, d, "figures").select("paper_id", F.lit("caption").alias("source"), extract(F.col("caption_text"), _NAME).alias("name")))
-    .unionByName(table(s, d, "sentences").select("paper_id", F.lit("text").alias("source"), extract(F.col("text"), _NAME).alias("name")))
-    .where("name IS NOT NULL").groupBy("paper_id", "name").agg(F.array_join(F.array_sort(F.collect_set("source")), "|").alias("sources"), F.count("*").alias("n_evidence")),
+    lambda s, d: table(s, d, "papers").select("paper_id", F.lit("title").alias("source"), F.explode(extract_all(F.col("title"), _NAME)).alias("name"))
+    .unionByName(table(s, d, "figures").select("paper_id", F.lit("caption").alias("source"), F.explode(extract_all(F.col("caption_text"), _NAME)).alias("name")))
+    .unionByName(table(s, d, "sentences").select("paper_id", F.lit("text").alias("source"), F.explode(extract_all(F.col("text"), _NAME)).alias("name")))
+    .groupBy("paper_id", "name").agg(F.array_join(F.array_sort(F.collect_set("source")), "|").alias("sources"), F.count("*").alias("n_evidence")),
     f"SELECT paper_id, name, array_to_string(list_sort(list(DISTINCT source)), '|') AS sources, count(*) AS n_evidence FROM (SELECT paper_id, 'title' AS source, {sql_extract('title', _NAME)} AS name FROM papers UNION ALL SELECT paper_id, 'caption', {sql_extract('caption_text', _NAME)} FROM figures UNION ALL SELECT paper_id, 'text', {sql_extract('text', _NAME)} FROM sentences) WHERE name IS NOT NULL GROUP BY 1, 2",
 )
 _add(

@@ -39,3 +39,26 @@ def test_jon02_same_as_self_join(spark):
     j AS (SELECT x.record_id, x.ord, y.record_id AS other, coalesce(CAST(x.analyte = y.analyte AS INTEGER), 0) * 3 + coalesce(CAST(x.kind = y.kind AS INTEGER), 0) * 2 AS score FROM a x JOIN a y ON x.paper_id = y.paper_id AND x.record_id <> y.record_id)
     SELECT record_id, ord, max(score) AS score, arg_min(other, (-score, other)) AS partner FROM j WHERE score >= 2 GROUP BY 1, 2"""
     _same_as(spark, "jon02_best_application_match", ["record_id", "ord", "score", "partner"], sql)
+
+
+_MANY = dict(
+    papers=([(1, "CuO and CuS"), (2, None)], "paper_id bigint, title string"),
+    figures=([(1, "Co3O4 beside CuS")], "paper_id bigint, caption_text string"),
+    sentences=([(1, "Fe3O4, CuO and then Fe3O4@C or CuO were mixed."), (1, "none"), (2, None)], "paper_id bigint, text string"),
+)
+
+
+def test_ext27_every_name_of_a_text(spark, tmp_path):
+    got = _run(spark, tmp_path, "ext27_material_recall", ["paper_id", "name", "sources", "n_evidence"], **_MANY)
+    assert got == [(1, "Co3O4", "caption", 1), (1, "CuO", "text|title", 2), (1, "CuS", "caption|title", 2), (1, "Fe3O4", "text", 1), (1, "Fe3O4@C", "text", 1)]
+
+
+def test_agg13_every_name_of_a_text(spark, tmp_path):
+    assert _run(spark, tmp_path, "agg13_absorbed_names", ["paper_id", "name", "n"], **_MANY) == [(1, "cuo", 1), (1, "fe3o4@c", 2)]
+
+
+def test_ext27_same_as_unnest(spark):
+    from assayflow.plans.values import _NAME
+
+    each = " UNION ALL ".join(f"SELECT paper_id, '{n}' AS source, unnest(list_distinct(regexp_extract_all({c}, '{_NAME}', 1))) AS name FROM {t}" for n, c, t in (("title", "title", "papers"), ("caption", "caption_text", "figures"), ("text", "text", "sentences")))
+    _same_as(spark, "ext27_material_recall", ["paper_id", "name", "sources", "n_evidence"], f"SELECT paper_id, name, array_to_string(list_sort(list(DISTINCT source)), '|') AS sources, count(*) AS n_evidence FROM ({each}) GROUP BY 1, 2")
