@@ -90,9 +90,11 @@ _add(
     lambda s, d: table(s, d, "sentences").where("text IS NOT NULL").join(table(s, d, "records").where("selected_nanozyme.name IS NOT NULL").groupBy("paper_id").agg(F.min(F.lower("selected_nanozyme.name")).alias("n")), "paper_id").groupBy("paper_id", "n").agg(F.count_if(F.lower("text").contains(F.col("n"))).alias("n_with"), F.count("*").alias("n_all")).where("n_with > 0"),
     "SELECT paper_id, n, count_if(contains(lower(text), n)) AS n_with, count(*) AS n_all FROM sentences JOIN (SELECT paper_id, min(lower(selected_nanozyme.name)) AS n FROM records WHERE selected_nanozyme.name IS NOT NULL GROUP BY 1) USING (paper_id) WHERE text IS NOT NULL GROUP BY 1, 2 HAVING n_with > 0",
 )
+_FIELDS = ("Km", "Vmax", "kcat", "kcat_Km")
+_PAIRS = ", ".join(f"named_struct('a', '{a}', 'b', '{b}', 'x', _evidence_{a}, 'y', _evidence_{b})" for i, a in enumerate(_FIELDS) for b in _FIELDS[i + 1 :])
 _add(
     "jon13_field_pairs",
-    lambda s, d: table(s, d, "kinetics").selectExpr("kin_id", "inline(array(named_struct('a', 'Km', 'b', 'Vmax', 'x', _evidence_Km, 'y', _evidence_Vmax), named_struct('a', 'Km', 'b', 'kcat', 'x', _evidence_Km, 'y', _evidence_kcat), named_struct('a', 'Vmax', 'b', 'kcat', 'x', _evidence_Vmax, 'y', _evidence_kcat)))").where("x IS NOT NULL AND y IS NOT NULL").groupBy("a", "b").agg(F.count("*").alias("n"), F.sum(F.when(F.abs(F.length("x") - F.length("y")) > 20, 1).otherwise(0)).alias("n_apart")),
+    lambda s, d: table(s, d, "kinetics").selectExpr("kin_id", f"inline(array({_PAIRS}))").where("x IS NOT NULL AND y IS NOT NULL").groupBy("a", "b").agg(F.count("*").alias("n"), F.sum(F.when(F.abs(F.length("x") - F.length("y")) > 20, 1).otherwise(0)).alias("n_apart")),
     "SELECT a, b, count(*) AS n, CAST(sum(CASE WHEN abs(length(x) - length(y)) > 20 THEN 1 ELSE 0 END) AS BIGINT) AS n_apart FROM (SELECT 'Km' AS a, 'Vmax' AS b, _evidence_Km AS x, _evidence_Vmax AS y FROM kinetics UNION ALL SELECT 'Km', 'kcat', _evidence_Km, _evidence_kcat FROM kinetics UNION ALL SELECT 'Vmax', 'kcat', _evidence_Vmax, _evidence_kcat FROM kinetics) WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2",
 )
 _add(

@@ -62,3 +62,15 @@ def test_ext27_same_as_unnest(spark):
 
     each = " UNION ALL ".join(f"SELECT paper_id, '{n}' AS source, unnest(list_distinct(regexp_extract_all({c}, '{_NAME}', 1))) AS name FROM {t}" for n, c, t in (("title", "title", "papers"), ("caption", "caption_text", "figures"), ("text", "text", "sentences")))
     _same_as(spark, "ext27_material_recall", ["paper_id", "name", "sources", "n_evidence"], f"SELECT paper_id, name, array_to_string(list_sort(list(DISTINCT source)), '|') AS sources, count(*) AS n_evidence FROM ({each}) GROUP BY 1, 2")
+
+
+def test_jon13_all_six_pairs(spark, tmp_path):
+    rows = [(1, "a" * 30, "b", "c", "d"), (2, None, None, "c", "d" * 40), (3, None, None, None, "d")]
+    got = _run(spark, tmp_path, "jon13_field_pairs", ["a", "b", "n", "n_apart"], kinetics=(rows, "kin_id bigint, _evidence_Km string, _evidence_Vmax string, _evidence_kcat string, _evidence_kcat_Km string"))
+    assert got == [("Km", "Vmax", 1, 1), ("Km", "kcat", 1, 1), ("Km", "kcat_Km", 1, 1), ("Vmax", "kcat", 1, 0), ("Vmax", "kcat_Km", 1, 0), ("kcat", "kcat_Km", 2, 1)]
+
+
+def test_jon13_same_as_sql_of_all_pairs(spark):
+    fields = ["Km", "Vmax", "kcat", "kcat_Km"]
+    arms = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, _evidence_{a} AS x, _evidence_{b} AS y FROM kinetics" for i, a in enumerate(fields) for b in fields[i + 1 :])
+    _same_as(spark, "jon13_field_pairs", ["a", "b", "n", "n_apart"], f"SELECT a, b, count(*) AS n, CAST(sum(CASE WHEN abs(length(x) - length(y)) > 20 THEN 1 ELSE 0 END) AS BIGINT) AS n_apart FROM ({arms}) WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2")
