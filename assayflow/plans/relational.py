@@ -74,9 +74,30 @@ _add(
     .groupBy("fig_key").agg(F.min_by("block_key", F.struct(F.abs(F.col("fy") - F.col("by")), F.col("block_key"))).alias("nearest"), F.round(F.min(F.abs(F.col("fy") - F.col("by"))), 4).alias("distance")),
     "SELECT fig_key, arg_min(block_key, (d, block_key)) AS nearest, round(min(d), 4) AS distance FROM (SELECT f.fig_key, b.block_key, abs(f.bbox[2] - b.bbox[2]) AS d FROM figures f JOIN blocks b ON f.paper_id = b.paper_id AND f.page = b.page WHERE f.bbox IS NOT NULL AND b.bbox IS NOT NULL AND b.kind = 'caption') GROUP BY 1",
 )
+_LABELLED = r"(?:^|[^a-z])(?:(?:figs|figures)[.]? *s?[0-9]+(?: *(?:,|and|&) *s?[0-9]+)*|(?:fig|abb)[.a-z]* *s?[0-9]+)"
+_CAPTION = r"(?:^|\n) *(?:fig|abb)[.a-z]* *(s?[0-9]+)"
+
+
+def _body_context(s, d):
+    """Up to three body sentences of each figure: those that name its label, else those of its page.
+
+    In order two with a kinetics signal, one with an activity signal and the first two, equal texts once. They are
+    chosen once for each label and page, so figures join only the chosen ones.
+    """
+    t = F.lower("text")
+    labels = F.array_distinct(F.flatten(F.transform(F.regexp_extract_all(t, F.lit(_LABELLED), 0), lambda x: F.regexp_extract_all(x, F.lit("s?[0-9]+"), 0))))
+    roles = F.array_compact(F.array(F.when(hit(t, banks.KINETICS_SIGNAL), 0), F.when(hit(t, banks.ACTIVITY_SIGNAL), 1), F.lit(2)))
+    sen = table(s, d, "sentences").where("text IS NOT NULL AND NOT source_kind <=> 'caption'").select("paper_id", "sent_key", "text", roles.alias("roles"), F.array_compact(F.array_append(F.transform(labels, lambda x: F.concat(F.lit("label "), x)), F.concat(F.lit("page "), F.col("page").cast("string")))).alias("keys"))
+    keyed = sen.select("paper_id", "sent_key", "text", "roles", F.explode("keys").alias("key")).select("paper_id", "key", "sent_key", "text", F.explode("roles").alias("role"))
+    first = keyed.withColumn("n", F.row_number().over(W.partitionBy("paper_id", "key", "role").orderBy("sent_key"))).where("n <= 2 AND NOT (role = 1 AND n = 2)")
+    chosen = first.groupBy("paper_id", "key").agg(F.array_sort(F.collect_list(F.struct("role", "n", "sent_key", "text"))).alias("c")).select("paper_id", "key", F.expr("slice(filter(c, (x, i) -> NOT exists(slice(c, 1, i), y -> y.text = x.text)), 1, 3).sent_key").alias("c"))
+    fig = table(s, d, "figures").select("fig_key", "paper_id", F.posexplode(F.array(F.concat(F.lit("label "), extract(F.lower("caption_text"), _CAPTION)), F.concat(F.lit("page "), F.col("page").cast("string")))).alias("fallback", "key")).where("key IS NOT NULL")
+    return fig.join(chosen, ["paper_id", "key"]).groupBy("fig_key", "paper_id").agg(F.min_by("c", "fallback").alias("c")).select("fig_key", "paper_id", F.posexplode("c").alias("rank", "sent_key")).withColumn("rank", F.col("rank") + 1)
+
+
 _add(
     "jon08_body_context_top3",
-    lambda s, d: rel.top_per_paper(table(s, d, "sentences").where("text IS NOT NULL").select("paper_id", "sent_key", tx.sentence_score(F.col("text"), F.col("section")).alias("s")), "s", "sent_key", 3).select("paper_id", "sent_key", "rank"),
+    _body_context,
     f"SELECT paper_id, sent_key, CAST(rank AS INTEGER) AS rank FROM (SELECT paper_id, sent_key, row_number() OVER (PARTITION BY paper_id ORDER BY {_SCORE} DESC, sent_key) AS rank FROM sentences WHERE text IS NOT NULL) WHERE rank <= 3",
 )
 _add(

@@ -74,3 +74,40 @@ def test_jon13_same_as_sql_of_all_pairs(spark):
     fields = ["Km", "Vmax", "kcat", "kcat_Km"]
     arms = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, _evidence_{a} AS x, _evidence_{b} AS y FROM kinetics" for i, a in enumerate(fields) for b in fields[i + 1 :])
     _same_as(spark, "jon13_field_pairs", ["a", "b", "n", "n_apart"], f"SELECT a, b, count(*) AS n, CAST(sum(CASE WHEN abs(length(x) - length(y)) > 20 THEN 1 ELSE 0 END) AS BIGINT) AS n_apart FROM ({arms}) WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2")
+
+
+def test_jon08_context_of_each_figure(spark, tmp_path):
+    sentences = [
+        (1, 1, "Plain first.", 1, "text"), (2, 1, "Fig. 3 shows the peroxidase-like trace.", 9, "text"), (3, 1, "The Km in Fig. 3 is low.", 9, "text"), (4, 1, "Figs. 3 and S5 agree.", 9, "text"), (5, 1, "Fig. 3. A caption with Km.", 1, "caption"),
+        (6, 1, "Km a.", 2, "text"), (7, 1, "Km b.", 2, "text"), (8, 1, "Km a.", 2, None), (9, 1, "Catalytic activity.", 2, "text"), (10, 2, "Fig. 7 of another paper.", 1, "text"),
+    ]
+    figures = [(20, 1, 1, "Figure 3. Trace."), (21, 1, 1, "Fig. S5. Trace."), (22, 1, 2, "Fig. 7. Trace."), (23, 1, 1, None), (24, 1, None, None), (25, 1, 8, "Fig. 8.")]
+    got = _run(
+        spark, tmp_path, "jon08_body_context_top3", ["fig_key", "paper_id", "rank", "sent_key"],
+        sentences=(sentences, "sent_key bigint, paper_id bigint, text string, page int, source_kind string"), figures=(figures, "fig_key bigint, paper_id bigint, page int, caption_text string"),
+    )
+    assert got == [(20, 1, 1, 3), (20, 1, 2, 2), (21, 1, 1, 4), (22, 1, 1, 6), (22, 1, 2, 7), (22, 1, 3, 9), (23, 1, 1, 1)]
+
+
+def test_jon08_same_as_plain_python(spark):
+    """The rule of the reference, figure by figure."""
+    if not os.path.isdir(SF):
+        pytest.skip("no test data")
+    import re
+
+    from assayflow.functions import banks
+
+    sen = sorted((r for r in spark.read.parquet(f"{SF}/sentences.parquet").collect() if r.text is not None and r.source_kind != "caption"), key=lambda r: r.sent_key)
+    want = []
+    for f in spark.read.parquet(f"{SF}/figures.parquet").collect():
+        label = re.search(r"(?:^|\n) *(?:fig|abb)[.a-z]* *(s?[0-9]+)", (f.caption_text or "").lower())
+        own = [r for r in sen if r.paper_id == f.paper_id]
+        named = label and re.compile(rf"(?<![a-z])(?:(?:figs|figures)[.]? *(?:s?[0-9]+ *(?:,|and|&) *)*|(?:fig|abb)[.a-z]* *){label[1]}(?![0-9])")
+        related = [r for r in own if named and named.search(r.text.lower())] or [r for r in own if f.page is not None and r.page == f.page]
+        kinetics, activity = ([r for r in related if re.search(p, r.text.lower())] for p in (banks.KINETICS_SIGNAL, banks.ACTIVITY_SIGNAL))
+        chosen = {}
+        for r in kinetics[:2] + activity[:1] + related[:2]:
+            chosen.setdefault(r.text, r.sent_key)
+        want += [(f.fig_key, f.paper_id, i + 1, k) for i, k in enumerate(list(chosen.values())[:3])]
+    got = [(r.fig_key, r.paper_id, r["rank"], r.sent_key) for r in entry.queries()["jon08_body_context_top3"](spark, SF).collect()]
+    assert sorted(got) == sorted(want) and got
