@@ -13,10 +13,10 @@ joined over a hyphen that is no compound's own, ``misread`` where a confusion wa
 ``furniture`` where something was cut out.
 
 Cost at scale: counting is one pass with counts combined per task before the only shuffle;
-the lexicon is broadcast behind a check of its size: words must occur ``min_count`` times,
-and ``min_count`` is doubled until at most ``LEXICON_BOUND`` entries are left (a word that
-rare in so large a corpus is then unknown, which only matters if it looks like a misread
-frequent one). Scanned rows are decoded where they lie, without a shuffle.
+the lexicon holds what occurs ``min_count`` times whatever the size of the corpus. Its most
+frequent part, at most ``LEXICON_BOUND`` entries, is broadcast into memory; where there are
+more, the rest is sent to the executors as a keyed file and looked up there, so answers do
+not depend on the bound. Scanned rows are decoded where they lie, without a shuffle.
 
 Defined results: null, empty and blank texts have no damage and stay as they are; rows that
 are not from scans are not read for damage; repeated rows are reported each; very long
@@ -26,11 +26,18 @@ known, so only furniture marks and the hyphens of line ends are found.
 
 from __future__ import annotations
 
+import atexit
+import os
 import re
+import shutil
+import sqlite3
+import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.charforms import canonical_form
@@ -137,17 +144,77 @@ def _parts(token: str) -> list[str]:
     return [p for p in re.split("[぀-ヿ㐀-鿿가-힣؀-ۿऀ-ॿЀ-ӿ，。（）：；！？、「」\\s]+", token) if p]
 
 
-def build_lexicon(clean: DataFrame, min_count: int = 2) -> dict[str, dict[str, int]]:
-    """The counted lexicon with at most ``LEXICON_BOUND`` entries: the only data sent to all executors."""
-    counts = materialise(count_clean(clean).where(f"n >= {min_count}"), "scan-lexicon")
-    while counts.where(f"n >= {min_count}").count() > LEXICON_BOUND:
-        min_count *= 2
+def _counted(clean: DataFrame, min_count: int) -> tuple[DataFrame, int]:
+    """(the whole lexicon, the least count of its part that fits into ``LEXICON_BOUND``)."""
+    counts, least = materialise(count_clean(clean).where(f"n >= {min_count}"), "scan-lexicon"), min_count
+    while counts.where(f"n >= {least}").count() > LEXICON_BOUND:
+        least *= 2
+    return counts, least
+
+
+def _frequent(counts: DataFrame, least: int) -> dict[str, dict[str, int]]:
     out: dict[str, dict[str, int]] = {"w": {}, "b": {}, "n": {}}
-    for kind, key, n in counts.where(f"n >= {min_count}").toLocalIterator():
+    for kind, key, n in counts.where(f"n >= {least}").toLocalIterator():
         out[kind][key] = n
     return out
 
 
+def build_lexicon(clean: DataFrame, min_count: int = 2) -> dict[str, dict[str, int]]:
+    """The most frequent part of the lexicon, at most ``LEXICON_BOUND`` entries."""
+    return _frequent(*_counted(clean, min_count))
+
+
+def _send_rest(rest: DataFrame) -> str:
+    """The name of a keyed file with the other entries, on every executor; the driver streams them to its disk."""
+    name = f"scan-lexicon-{uuid.uuid4().hex}.db"
+    folder = tempfile.mkdtemp(prefix="assayflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # executors may fetch it until the driver ends
+    path = os.path.join(folder, name)
+    db = sqlite3.connect(path)
+    db.execute("PRAGMA journal_mode = OFF")
+    db.execute("CREATE TABLE entries (kind TEXT, key TEXT, n INTEGER, PRIMARY KEY (kind, key)) WITHOUT ROWID")
+    # in key order pages are written once, one after the other
+    db.executemany("INSERT INTO entries VALUES (?, ?, ?)", ((r.kind, r.key, r.n) for r in rest.orderBy("kind", "key").toLocalIterator()))
+    db.commit()
+    db.close()
+    rest.sparkSession.sparkContext.addFile(path)
+    return name
+
+
+class _Layered:
+    """Entries of one kind: the frequent ones in memory, the others in the file."""
+
+    def __init__(self, frequent: dict[str, int], db: sqlite3.Connection, kind: str):
+        self.frequent, self.db, self.kind = frequent, db, kind
+        self.cache: dict[str, int | None] = {}
+
+    def _find(self, key: str) -> int | None:
+        n = self.frequent.get(key)
+        if n is not None:
+            return n
+        if key in self.cache:
+            return self.cache[key]
+        got = self.db.execute("SELECT n FROM entries WHERE kind = ? AND key = ?", (self.kind, key)).fetchone()
+        n = got[0] if got else None
+        if len(self.cache) < _FLUSH:
+            self.cache[key] = n
+        return n
+
+    def get(self, key: str, default: int = 0) -> int:
+        n = self._find(key)
+        return default if n is None else n
+
+    def __contains__(self, key: str) -> bool:
+        return self._find(key) is not None
+
+
+def _layered(frequent: dict[str, dict[str, int]], rest: str | None) -> dict:
+    if rest is None:
+        return frequent
+    db = sqlite3.connect(f"file:{SparkFiles.get(rest)}?mode=ro&immutable=1", uri=True)
+    return {kind: _Layered(part, db, kind) for kind, part in frequent.items()}
+
+
 # ------------------------------------------------------------------ furniture
 
 _NAME = r"[A-ZÀ-Þ][\wÀ-ɏ’'-]+"
@@ -486,11 +553,13 @@ _OUT = T.StructType([T.StructField("repaired", T.StringType()), T.StructField("d
 
 def repaired(rows: DataFrame, clean: DataFrame, min_count: int = 2) -> DataFrame:
     """``rows`` (origin, row_id, text from scans) with repaired text and the list of damages."""
-    shared = rows.sparkSession.sparkContext.broadcast(build_lexicon(clean, min_count))
+    counts, least = _counted(clean, min_count)
+    shared = rows.sparkSession.sparkContext.broadcast(_frequent(counts, least))
+    rest = _send_rest(counts.where(f"n < {least}")) if least > min_count else None
 
     @F.pandas_udf(_OUT)
     def fix(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        decoder = Decoder(shared.value)
+        decoder = Decoder(_layered(shared.value, rest))
         for texts in batches:
             yield pd.DataFrame([repair(t if isinstance(t, str) else None, decoder) for t in texts], columns=["repaired", "damages"])
 

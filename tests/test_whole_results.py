@@ -111,3 +111,17 @@ def test_jon08_same_as_plain_python(spark):
         want += [(f.fig_key, f.paper_id, i + 1, k) for i, k in enumerate(list(chosen.values())[:3])]
     got = [(r.fig_key, r.paper_id, r["rank"], r.sent_key) for r in entry.queries()["jon08_body_context_top3"](spark, SF).collect()]
     assert sorted(got) == sorted(want) and got
+
+
+def test_p3_same_readings_whatever_the_bound(spark, monkeypatch):
+    from assayflow.llm import scans as sc
+
+    df = lambda texts: spark.createDataFrame([("t", i, t) for i, t in enumerate(texts)], "origin string, row_id bigint, text string")
+    clean = df(["The rare zirconocene chloride was weighed in air."] * 2 + ["Modern carbon supports return the cation to its resting state."] * 3 + ["the cation"] * 50)
+    scanned = df(["The rare zirconocene chloride was weighed in air.", "The rare zircon-\nocene was weighed.", "Modern carbon supports return the cation to 3 its resting state.", "Moclern carbon"])
+    read = lambda: {r.row_id: (r.repaired, list(r.damages)) for r in sc.repaired(scanned, clean).collect()}
+    want = read()
+    assert want[0][1] == [] and want[1] == ("The rare zirconocene was weighed.", ["hyphenation"]) and want[2][1] == ["furniture"] and want[3][1] == ["misread"]
+    monkeypatch.setattr(sc, "LEXICON_BOUND", 3)
+    assert sum(map(len, sc.build_lexicon(clean).values())) <= 3
+    assert read() == want
