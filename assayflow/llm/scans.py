@@ -398,7 +398,7 @@ class Decoder:
                     best = (w, n)
             if best is None and odd and len(core) >= 7:
                 depth = 3
-                for v in sorted(second)[:4000]:
+                for v in sorted(second):
                     for w in self.variants(v):
                         n = words.get(w.lower() if w.isalpha() else normal(w), 0)
                         if n >= 5 and (best is None or n > best[1]):
@@ -468,7 +468,7 @@ class Decoder:
                             break
             # joins over one or more marks: the word may be divided again and again
             word, cost, damage, j = t, 0.0, "", i
-            while j + 1 < n and word[-1:] in _MARKS and len(word) > 1 and j - i < 6:
+            while j + 1 < n and word[-1:] in _MARKS and len(word) > 1:
                 b = toks[j + 1]
                 kind = self.joined(word, b.rstrip(_MARKS) if b[-1:] in _MARKS and len(b) > 1 else b)
                 if kind == "none":

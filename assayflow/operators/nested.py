@@ -20,6 +20,7 @@ a reply that cannot be read at all gives no child and status ``failed``.
 from __future__ import annotations
 
 import json
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -133,10 +134,9 @@ def _with_presence(kind: T.DataType) -> T.DataType:
 
 def find_record(value: object) -> dict | None:
     """The outermost object with a top field of a record, through wrappers and encoded strings."""
-    queue, seen = [(value, 0)], 0
-    while queue and seen < 1000:
-        here, depth = queue.pop(0)
-        seen += 1
+    queue = deque([(value, 0)])
+    while queue:
+        here, depth = queue.popleft()
         if isinstance(here, str) and depth and here.lstrip()[:1] in ("{", "["):
             here = loads_lenient(here)[0]
         if isinstance(here, dict):

@@ -125,3 +125,22 @@ def test_p3_same_readings_whatever_the_bound(spark, monkeypatch):
     monkeypatch.setattr(sc, "LEXICON_BOUND", 3)
     assert sum(map(len, sc.build_lexicon(clean).values())) <= 3
     assert read() == want
+
+
+def test_p3_word_over_many_marks_and_late_variants():
+    from assayflow.llm import scans as sc
+
+    lex = {"w": {"electrochemiluminescence": 9, "was": 9, "seen": 9}, "b": {}, "n": {}}
+    assert sc.Decoder(lex).decode("elec- tro- che- mi- lu- mi- nes- cen- ce was seen") == (["electrochemiluminescence", "was", "seen"], {"hyphenation"})
+    word, damaged = "to" * 50 + "zmzmzm", "to" * 50 + "zrnzrnzrn"  # three confusions after many letters that could be others
+    d = sc.Decoder({"w": {word: 9}, "b": {}, "n": {}})
+    second = sorted({w for v in d.variants(damaged) for w in d.variants(v)})
+    assert len(second) > 4000 and not any(word in d.variants(v) for v in second[:4000])
+    assert d.reading(damaged) == (word, 3)
+
+
+def test_p6_record_after_a_large_wrapper():
+    from assayflow.operators import nested
+
+    record = {"selected_nanozyme": {"name": "CuO"}}
+    assert nested.find_record({"log": [{"i": i} for i in range(3000)], "reply": {"data": record}}) == record
