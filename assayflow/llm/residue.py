@@ -103,7 +103,7 @@ _CUES = (
     "accès refusé|existe plus|expiré|vous connecter|no encontrada|denegado|ya no existe|caducado|expirado|inicie|не найдена|запрещ|закрыт|удалена|ошибка сервера|сеанс|页面|网页|首页|"
     "服务器|稍后|访问被|请登录|見つかりません|urlを確認|アクセスが|サーバーエラー|ログイン|セッション|찾을 수 없|거부|서버 오류|로그인|الصفحة|العثور|الوصول|الخادم|पृष्ठ|अस्वीकृत|सर्वर|"
     "text|dummy|placeholder|filler|goes here|type your|click to|body copy|replace this|test document|texte|texto|escriba|введите|здесь будет|此处|占位|ここに|ダミー|여기에|예시|اكتب|تجريبي|"
-    "यहाँ|नमूना|tbd|todo|tba|n.n|heading |title |section |caption |asdf|qwer|jkl|foo bar|blah|xxx"
+    "यहाँ|नमूना|sample content|sample copy|заполнитель|nn|tbd|todo|tba|n.n|heading |title |section |caption |asdf|qwer|jkl|foo bar|blah|xxx"
 ).split("|")
 _PARTS = re.compile(r"(?<=[.!?。！？।؟])\s+|(?<=[。！？])|\n+")
 _RESIDUE = re.compile("|".join(f"(?:{p})" for p in _NOTICE + _FILLER), re.IGNORECASE)
@@ -129,14 +129,19 @@ def _is_residue(part: str, cues) -> bool:
     return len(words) > 3 and len(set(words)) == 1
 
 
+def _repeats(words: list[str]) -> bool:
+    """Whether a word stands three times in a row, as in every part that is one word repeated."""
+    return any(a == b == c for a, b, c in zip(words, words[1:], words[2:]))
+
+
 def trusted(text: str) -> bool:
     """The text consists of notices, error messages or filler, with at most a title or menu around them.
 
     At most three tenths as much content (sentences of some length that are no residue) may
     stand beside them.
     """
-    cues = _cues()
-    if len(text) > 80 and next(cues.iter(text.lower()), None) is None:
+    cues, low = _cues(), text.lower()
+    if len(text) > 80 and next(cues.iter(low), None) is None and not _repeats(low.split()):
         return False
     bad = content = every = 0
     for part in _PARTS.split(text):
@@ -259,7 +264,7 @@ def _tables(reps: DataFrame, probe: bool) -> DataFrame:
     return reps.select("class", "hash", "n_shingles", F.explode(near).alias("bucket"), F.expr(f"array({bands})").alias("b")).selectExpr("class", "hash", "n_shingles", "bucket", "inline(b)")
 
 
-def propagate(reps: DataFrame, texts: DataFrame, labelled: DataFrame, max_rounds: int = 50) -> DataFrame:
+def propagate(reps: DataFrame, texts: DataFrame, labelled: DataFrame) -> DataFrame:
     """(class): ``labelled`` classes and every class connected with them by near-duplicate links.
 
     ``reps`` has class, hash, n_shingles and prefix, ``texts`` the text of each class. Pairs
@@ -270,7 +275,7 @@ def propagate(reps: DataFrame, texts: DataFrame, labelled: DataFrame, max_rounds
     frontier = found
     tables = _tables(reps, probe=False)
     least = reps.select("class", "n_shingles", F.explode("prefix").alias("shingle"))
-    for _ in range(max_rounds):
+    while True:  # each round adds a class, so it ends
         near = _tables(reps.join(frontier, "class", "left_semi"), probe=True).select(
             F.col("class").alias("a"), F.col("hash").alias("ha"), F.col("n_shingles").alias("na"), "bucket", "band", "bits"
         )

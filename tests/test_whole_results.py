@@ -144,3 +144,23 @@ def test_p6_record_after_a_large_wrapper():
 
     record = {"selected_nanozyme": {"name": "CuO"}}
     assert nested.find_record({"log": [{"i": i} for i in range(3000)], "reply": {"data": record}}) == record
+
+
+def test_p10_filler_without_the_former_cues():
+    from assayflow.llm import residue as rs
+
+    assert rs.trusted("vestigium " * 12)
+    for line in ("Sample content.", "Sample copy.", "Это заполнитель: текст-заполнитель.", "NN"):
+        assert rs.trusted(line) and (line == "NN" or rs.trusted(f"{line} " * 6))
+    assert not rs.trusted("The zeta potential of the particles was 12 mV at pH 7 and fell to 3 mV at pH 4 within ten days.")
+
+
+def test_p10_chain_of_more_than_fifty_links(spark):
+    from assayflow.llm import residue as rs
+
+    words = ["w" + "".join("abcdefghij"[int(c)] for c in str(i)) for i in range(280)]
+    docs = spark.createDataFrame([(k, " ".join(words[k * 4 : k * 4 + 60])) for k in range(54)], "doc_id bigint, text string")
+    reps = rs.classes(docs)
+    texts = reps.join(docs, "doc_id").select("class", "text")
+    first = reps.where("doc_id = 0").select("class")
+    assert rs.propagate(reps, texts, first).count() == 54
