@@ -1,17 +1,20 @@
 """Problem 1: visually identical text with different characters.
 
-Method: every value is mapped to its look-alike form; the mapped values are grouped in SQL
-under Unicode collation (accent- and case-sensitive, ``COLLATE UNICODE``), one canonical
-member is chosen per class, deterministically, and joined back to the rows.
+Method: every value is mapped to its look-alike form; the forms and the plain values that
+may look like them are grouped in SQL under Unicode collation (accent- and case-sensitive,
+``COLLATE UNICODE``), one canonical member is chosen per class, deterministically, and
+joined back to the rows.
 
-Canonical member: the mapped form that most occurrences of the class share, ties by code
-points; it always has the consistent form itself.
+Canonical member: the form that most occurrences of the class share, ties by code points;
+it always has the consistent form itself. Every value of the class that differs from it is
+reported, plain ones too.
 
 Cost at scale: the mapping is skipped on the JVM side for texts made of plain characters
-only. Values are counted per distinct value before the grouping (map-side combine), so a
-value that a third of all rows share becomes one row. Only values that are not plain are
-candidates for a change and take part in the join back, keyed by the value's hash and
-checked by the value itself; nothing is broadcast by hand and nothing is collected.
+only; values are counted per distinct value before they are mapped (map-side combine), so a
+value that a third of all rows share becomes one row. A plain value takes part where its
+ASCII letters and digits, in order, are those of a form: strings that are equal under the
+collation and composed agree in them, so this leaves out no member, and only an eight-byte
+key per form meets the plain rows. Nothing is broadcast by hand and nothing is collected.
 
 Defined results: null stays null and is no case; the empty string has the form; repeated
 rows are reported each; very long texts are mapped whole; extra columns are ignored.
@@ -47,28 +50,31 @@ def look_alike_form(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([canonical_form(t) if isinstance(t, str) else None for t in texts], dtype=object)
 
 
-def canonical_members(counted: DataFrame, odd: DataFrame) -> DataFrame:
-    """(class, canonical): one member per class under Unicode collation that holds an odd value.
+def skeleton(value: Column) -> Column:
+    """A key of the ASCII letters and digits of a value, equal for values equal under the collation."""
+    return F.xxhash64(F.regexp_replace(value, "[^0-9A-Za-z]+", ""))
 
-    ``counted`` has every distinct value with its number, ``odd`` the values that are not
-    plain with their look-alike form. Plain values take part where a form equals them: they
-    decide, by their number, which member is canonical.
-    """
-    forms = odd.groupBy("mapped").agg(F.sum("n").alias("n"))
-    plain = counted.where(~is_odd(F.col("value"))).join(forms.select(F.col("mapped").alias("value")), "value", "left_semi")
-    members = forms.unionByName(plain.select(F.col("value").alias("mapped"), "n"))
-    return members.groupBy(F.collate(F.col("mapped"), "UNICODE").alias("class")).agg(F.min_by("mapped", F.struct(-F.col("n"), F.col("mapped"))).alias("canonical"))
+
+def canonical_members(members: DataFrame) -> DataFrame:
+    """(class, canonical): one member per class of ``members`` (form, n) under Unicode collation."""
+    forms = members.groupBy("form").agg(F.sum("n").alias("n"))
+    return forms.groupBy(F.collate(F.col("form"), "UNICODE").alias("class")).agg(F.min_by("form", F.struct(-F.col("n"), F.col("form"))).alias("canonical"))
 
 
 def consistent(rows: DataFrame) -> DataFrame:
     """``rows`` (origin, row_id, value) -> origin, row_id, value, canonical of every value that differs from it."""
-    rows = rows.select("origin", "row_id", "value")
-    counted = rows.where("value IS NOT NULL").groupBy("value").agg(F.count("*").alias("n"))
-    odd = counted.where(is_odd(F.col("value"))).select("value", "n", look_alike_form("value").alias("mapped"))
-    odd = materialise(odd, "lookalike-forms")  # mapped once, used twice
-    best = canonical_members(counted, odd)
-    changed = odd.withColumn("class", F.collate(F.col("mapped"), "UNICODE")).join(best, "class").where(F.col("value") != F.col("canonical")).select("value", "canonical")
-    return rows.where(is_odd(F.col("value"))).join(changed, "value").select("origin", "row_id", "value", "canonical")
+    rows = rows.select("origin", "row_id", "value").where("value IS NOT NULL")
+    odd_rows = rows.where(is_odd(F.col("value")))
+    odd = odd_rows.groupBy("value").agg(F.count("*").alias("n")).select("value", "n", look_alike_form("value").alias("form"))
+    odd = materialise(odd, "lookalike-forms")  # mapped once, used three times
+    keys = materialise(odd.select(skeleton(F.col("form")).alias("key")).distinct(), "lookalike-keys")
+    near = rows.where(~is_odd(F.col("value"))).withColumn("key", skeleton(F.col("value"))).join(keys, "key", "left_semi").drop("key")
+    near = materialise(near, "lookalike-plain")  # plain rows that may belong to a class
+    plain = near.groupBy("value").agg(F.count("*").alias("n")).withColumn("form", F.col("value"))
+    members = odd.unionByName(plain)
+    best = canonical_members(members.select("form", "n"))
+    changed = members.withColumn("class", F.collate(F.col("form"), "UNICODE")).join(best, "class").where(F.col("value") != F.col("canonical")).select("value", "canonical")
+    return odd_rows.unionByName(near).join(changed, "value").select("origin", "row_id", "value", "canonical")
 
 
 def long_values(kinetics: DataFrame, sentences: DataFrame) -> DataFrame:

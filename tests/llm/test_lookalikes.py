@@ -22,3 +22,15 @@ def test_case_and_accent_stay_apart(spark):
 
 def test_empty_table(spark):
     assert la.consistent(_rows(spark, [])).count() == 0
+
+
+def test_a_plain_value_may_be_the_canonical_member(spark):
+    values = ["k\u0000M"] + ["kM"] * 3 + ["k-M"] * 5 + ["K M"]
+    assert {(r.row_id, r.canonical) for r in la.consistent(_rows(spark, values)).collect()} == {(0, "kM")}
+
+
+def test_values_equal_under_the_collation_share_the_key(spark):
+    pairs = [("é1", "é1"), ("a­", "a"), ("Å", "Å"), ("가", "가"), ("x​y", "xy")]
+    df = spark.createDataFrame([(canonical_form(a), canonical_form(b)) for a, b in pairs], "a string, b string")
+    same = df.selectExpr("collate(a, 'UNICODE') = collate(b, 'UNICODE') AS e", "a", "b").select("e", (la.skeleton(df.a.substr(1, 99)) == la.skeleton(df.b.substr(1, 99))).alias("k"))
+    assert all(r.k for r in same.collect() if r.e)
