@@ -1,34 +1,40 @@
 """Problem 10: template residue, filler, error pages and script notices.
 
-Method: texts are collapsed to classes of equal normalised text; each class gets a 64-bit
-SimHash over its five-word shingles. Trusted labels come from what a text consists of
-(notices and error messages with at most a title or menu around them, filler phrases).
-From the labelled classes near-duplicates are found through partitioned SimHash tables
-(band of the hash plus a length bucket), verified by Hamming distance and by the Jaccard
-similarity of the shingle sets (0.8 or more), and the label is propagated until no class
-is added, which labels exactly the connected components that hold a trusted class. Unfilled
-placeholders and runs of dummy words label their own document only: a near-duplicate with
-the slot filled is real content.
-
-Slot names are learned: a name inside single brackets or braces counts as a placeholder
-only if the corpus also uses it inside unmistakable placeholder marks.
-
-Cost at scale: one pass for the signals; equal texts collapse before hashing, so a text
-that a third of the rows share is one class; the candidate join starts from labelled
-classes only, so its work follows the residue and not the square of the corpus; nothing is
-collected but one count per round.
+Method: every document gives views, its whole text and each of its lines; views of equal
+normalised words are one class, with a 64-bit SimHash over its five-word shingles. Trusted
+labels are few and strict: a class is trusted where a document consists of nothing but
+notices, error messages or filler phrases (its lines and its whole text are then residue),
+or, for messages no document consists of, where a line does so in a document without
+content. From the trusted classes near-duplicates are found through partitioned SimHash tables (band
+of the hash plus a length bucket), verified by Hamming distance and by the Jaccard
+similarity of the shingle sets (0.8 or more), and the label is propagated until no class is
+added, which labels exactly the connected components that hold a trusted class. A document
+is residue where its whole text has the label, or where its labelled lines leave no more
+than a title or menu around them. So a notice under a title, in another page's frame or
+with another number in it comes by its links and by no rule of its own.
+
+Unfilled placeholders and runs of dummy words label their own document only: a
+near-duplicate with the slot filled is real content. Slot names are learned: a name inside
+single brackets or braces counts as a placeholder only if the corpus also uses it inside
+unmistakable placeholder marks.
+
+Cost at scale: one pass hashes all views of a batch together; equal views collapse before
+they are joined, so a line that a third of the rows share is one class; candidates start
+from labelled classes only and share a length bucket with them, so their number follows the
+residue and not the square of the corpus; nothing is collected but one count and the range
+of lengths per round.
 
 Defined results: null, empty and blank texts are never found and stay in the clean corpus;
-texts of fewer than five words have one shingle of all their words; every repeated row is
-found; very long texts are read whole; extra columns are kept by ``without_residue``.
+views of fewer than five words have one shingle of all their words, those of none have no
+class; every repeated row is found; very long texts are read whole; extra columns are kept
+by ``without_residue``.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -40,8 +46,10 @@ from ..runtime import materialise
 
 WORDS_PER_SHINGLE = 5
 MIN_SIMILARITY = 0.8
-BANDS, BAND_BITS = 32, 11
+BANDS, BAND_BITS = 32, 14
 MAX_HAMMING = 20
+#: How a view is trusted: its document is nothing but residue, or its line is.
+LINE, WHOLE = 1, 2
 
 _NAME = r"[A-Za-z][A-Za-z_]*(?:\.[A-Za-z_]+)*"
 #: Marks that nothing but a template uses; group 1.. hold the slot's name.
@@ -134,27 +142,50 @@ def _repeats(words: list[str]) -> bool:
     return any(a == b == c for a, b, c in zip(words, words[1:], words[2:]))
 
 
-def trusted(text: str) -> bool:
-    """The text consists of notices, error messages or filler, with at most a title or menu around them.
+def _pure(line: str, cues) -> bool:
+    """Every sentence of the line is residue; an exclamation of up to three words ("Oops! ...") belongs to the next."""
+    bad = False
+    for part in _PARTS.split(line):
+        if not part or part.isspace():
+            continue
+        if _is_residue(part, cues):
+            bad = True
+        elif part[-1] not in "!！" or len(part.split()) > 3:
+            return False
+    return bad
+
+
+def trusted_lines(text: str) -> tuple[bool, set[int]]:
+    """(the text consists of notices, error messages or filler only, its lines that do).
 
-    At most three tenths as much content (sentences of some length that are no residue) may
-    stand beside them.
+    Lines are read only where so little content stands beside those with a cue that the
+    document can be residue at all.
     """
     cues, low = _cues(), text.lower()
     if len(text) > 80 and next(cues.iter(low), None) is None and not _repeats(low.split()):
-        return False
-    bad = content = every = 0
-    for part in _PARTS.split(text):
-        if not part or part.isspace():
-            continue
-        every += 1
-        if _is_residue(part, cues):
-            bad += len(part)
-        elif len(part) >= 12 and _SENTENCE_END.search(part):
-            content += len(part)
-            if content > 0.3 * (len(text) - content):
-                return False
-    return bad > 0 and content <= 0.3 * bad and len(text) <= 6 * bad + 120
+        return False, set()
+    lines = text.split("\n")
+    may, good = 0, 0
+    for line in lines:
+        small = line.lower()
+        if next(cues.iter(small), None) is not None or _repeats(small.split()) or len(set(small.split())) == 1:
+            may += len(line)
+        elif is_content(line):
+            good += len(line)
+    if good > 0.3 * may:
+        return False, set()
+    pure = {i for i, line in enumerate(lines) if _pure(line, cues)}
+    return bool(pure) and all(i in pure or not line.strip() for i, line in enumerate(lines)), pure
+
+
+def trusted(text: str) -> bool:
+    """The text consists of notices, error messages or filler and of nothing else."""
+    return trusted_lines(text)[0]
+
+
+def is_content(line: str) -> bool:
+    """A line with a sentence in it, not a title or a menu."""
+    return len(line) >= 12 and _SENTENCE_END.search(line) is not None
 
 
 def _text(c: str = "text") -> Column:
@@ -172,24 +203,28 @@ def _sql(pattern: str) -> str:
     return "r'" + pattern.replace("'", "[\\u0027]") + "'"
 
 
-def placeholder_docs(documents: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(doc_id): documents with an unfilled slot."""
-    sure = documents.where(_text().rlike("|".join(f"(?:{p})" for p in _SURE))).select(F.col(key).alias("doc_id"))
+def marked(documents: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(doc_id, text, sure, unsure, dummy): documents with marks of a template or dummy Latin, in one pass."""
+    sure, unsure = ("|".join(f"(?:{p})" for p in bank) for bank in (_SURE, _UNSURE))
+    t = F.col("text")
+    slots = t.contains("{") | t.contains("[")
+    rows = documents.select(F.col(key).alias("doc_id"), _text().alias("text")).select(
+        "doc_id", "text", ((slots | t.rlike("<|@@|%|__")) & t.rlike(sure)).alias("sure"), (slots & t.rlike(unsure)).alias("unsure"), t.rlike(_DUMMY_RUN).alias("dummy")
+    )
+    return rows.where("sure OR unsure OR dummy")
+
+
+def placeholder_docs(hits: DataFrame) -> DataFrame:
+    """(doc_id): documents of ``marked`` with an unfilled slot."""
     found = F.flatten(F.array(*[F.expr(f"regexp_extract_all(text, {_sql(p)}, 1)") for p in _UNSURE]))
     unsure = (
-        documents.where(_text().rlike("|".join(f"(?:{p})" for p in _UNSURE)))
-        .select(F.col(key).alias("doc_id"), _text().alias("text"))
+        hits.where("unsure")
         .select("doc_id", F.explode(F.array_distinct(found)).alias("name"))
         .select("doc_id", F.lower("name").alias("name"))
-        .join(slot_names(documents), "name", "left_semi")
+        .join(slot_names(hits.where("sure")), "name", "left_semi")
         .select("doc_id")
     )
-    return sure.unionByName(unsure).distinct()
-
-
-def dummy_docs(documents: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(doc_id): documents with a run of dummy Latin."""
-    return documents.where(_text().rlike(_DUMMY_RUN)).select(F.col(key).alias("doc_id"))
+    return hits.where("sure").select("doc_id").unionByName(unsure).distinct()
 
 
 # ------------------------------------------------------------------ near-duplicates
@@ -204,12 +239,45 @@ def words(text: str) -> list[str]:
     return _WORD.findall(_DIGITS.sub("0", text.lower()))
 
 
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_STEP = np.uint64(0xD1342543DE82EF95)
+
+
+class _WordHashes(dict):
+    """64-bit hash of each word, kept for the words seen lately."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_WORD_HASH = _WordHashes()
+
+
+def _hashes_of(found: list[str]) -> np.ndarray:
+    return np.array([_WORD_HASH[w] for w in found], dtype=np.uint64)
+
+
+def _runs(h: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every run of ``k`` words."""
+    n = len(h) - k + 1
+    out = h[:n].copy()
+    for i in range(1, k):
+        out = out * _STEP + h[i : i + n]
+    out ^= out >> np.uint64(29)
+    out *= _MIX
+    return out ^ (out >> np.uint64(32))
+
+
+def _shingles(h: np.ndarray) -> np.ndarray:
+    return np.unique(_runs(h, min(WORDS_PER_SHINGLE, len(h)))) if len(h) else np.zeros(1, dtype=np.uint64)
+
+
 def shingles(text: str) -> list[int]:
     """Sorted distinct 64-bit hashes of the runs of five words (of all words where they are fewer)."""
-    w = words(text)
-    k = WORDS_PER_SHINGLE
-    runs = {" ".join(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {" ".join(w)}
-    return sorted(xxhash.xxh64_intdigest(r) for r in runs)
+    return _shingles(_hashes_of(words(text))).tolist()
 
 
 def prefix(hashes: list[int]) -> np.ndarray:
@@ -220,23 +288,52 @@ def prefix(hashes: list[int]) -> np.ndarray:
 
 def simhash(hashes: list[int]) -> int:
     """64-bit SimHash, as a signed number."""
-    bits = np.unpackbits(np.array(hashes, dtype=np.uint64).view(np.uint8).reshape(-1, 8), axis=1)
+    bits = np.unpackbits(np.asarray(hashes, dtype=np.uint64).view(np.uint8).reshape(-1, 8), axis=1)
     return int(np.packbits(bits.sum(axis=0) * 2 > len(bits)).view(np.int64)[0])
 
 
-_FINGERPRINT = T.StructType(
-    [T.StructField("class", T.StringType()), T.StructField("hash", T.LongType()), T.StructField("n_shingles", T.IntegerType()), T.StructField("trusted", T.BooleanType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
-)
+_VIEW = T.StructType(
+    [
+        T.StructField("view", T.IntegerType()), T.StructField("class", T.StringType()), T.StructField("hash", T.LongType()), T.StructField("n_shingles", T.IntegerType()),
+        T.StructField("n_chars", T.IntegerType()), T.StructField("content", T.BooleanType()), T.StructField("trusted", T.IntegerType()), T.StructField("prefix", T.ArrayType(T.LongType())),
+    ]
+)
+
+
+def views_of(text: str) -> list[tuple]:
+    """The views of a text that hold words: 0 is the whole text, 1.. its lines (one line is the whole)."""
+    lines = text.split("\n")
+    found = [words(x) for x in lines]
+    h = _hashes_of([w for f in found for w in f])
+    whole, pure = trusted_lines(text)
+    out = []
+
+    def add(view: int, part: np.ndarray, line: str) -> None:
+        seed = WHOLE if whole else LINE if view - 1 in pure else 0
+        s = _shingles(part)
+        out.append((view, xxhash.xxh3_128_hexdigest(part.tobytes()), simhash(s), len(s), len(line), is_content(line), seed, prefix(s)))
+
+    if len(h):
+        add(0, h, text)
+    if sum(map(bool, found)) > 1:
+        at = 0
+        for i, (line, f) in enumerate(zip(lines, found)):
+            if f:
+                add(i + 1, h[at : at + len(f)], line)
+            at += len(f)
+    return out
+
+
+@F.pandas_udf(T.ArrayType(_VIEW))
+def _views(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    names = _VIEW.names
+    for texts in batches:
+        yield pd.Series([[dict(zip(names, v)) for v in views_of(t)] for t in texts])
 
 
-@F.pandas_udf(_FINGERPRINT)
-def fingerprint(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for texts in batches:
-        rows = []
-        for t in texts:
-            h = shingles(t)
-            rows.append((hashlib.md5(" ".join(words(t)).encode()).hexdigest(), simhash(h), len(h), trusted(t), prefix(h)))
-        yield pd.DataFrame(rows, columns=["class", "hash", "n_shingles", "trusted", "prefix"])
+@F.pandas_udf(T.StringType())
+def view_text(texts: pd.Series, views: pd.Series) -> pd.Series:
+    return pd.Series([t if v == 0 else t.split("\n")[v - 1] for t, v in zip(texts, views)], dtype=object)
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -244,55 +341,70 @@ def shingle_set(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: np.array(shingles(t), dtype=np.uint64).view(np.int64))
 
 
-def classes(documents: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(doc_id, class, hash, n_shingles, trusted, prefix): documents of equal normalised words are one class.
+def views(documents: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(doc_id, total, view, class, hash, n_shingles, n_chars, content, trusted, prefix) of every view with words.
 
-    Null and blank texts have no row.
+    ``total`` is the length of the document. Null and blank texts have no row.
     """
     texts = documents.where(_text().rlike(r"[^\s\p{Z}]")).select(F.col(key).alias("doc_id"), _text().alias("text"))
-    return texts.select("doc_id", fingerprint("text").alias("f")).select("doc_id", "f.*")
+    return texts.select("doc_id", F.length("text").alias("total"), F.explode(_views("text")).alias("v")).select("doc_id", "total", "v.*")
+
+
+def _bucket() -> Column:
+    return F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1 / MIN_SIMILARITY))).cast("int")
+
+
+def _near_buckets() -> Column:
+    return F.explode(F.array(_bucket() - 1, _bucket(), _bucket() + 1))
 
 
 def _tables(reps: DataFrame, probe: bool) -> DataFrame:
     """One row per band; with ``probe`` also for the neighbouring length buckets."""
-    bucket = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1 / MIN_SIMILARITY))).cast("int")
     step = 64 // BANDS
     bands = ", ".join(
         f"named_struct('band', {b}, 'bits', CAST((shiftrightunsigned(hash, {(b * step) % 64}) | shiftleft(hash, {(64 - b * step) % 64})) & {(1 << BAND_BITS) - 1} AS int))" for b in range(BANDS)
     )
-    near = F.array(bucket - 1, bucket, bucket + 1) if probe else F.array(bucket)
-    return reps.select("class", "hash", "n_shingles", F.explode(near).alias("bucket"), F.expr(f"array({bands})").alias("b")).selectExpr("class", "hash", "n_shingles", "bucket", "inline(b)")
+    near = _near_buckets() if probe else _bucket()
+    return reps.select("class", "hash", "n_shingles", near.alias("bucket"), F.expr(f"array({bands})").alias("b")).selectExpr("class", "hash", "n_shingles", "bucket", "inline(b)")
 
 
-def propagate(reps: DataFrame, texts: DataFrame, labelled: DataFrame) -> DataFrame:
+def propagate(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], labelled: DataFrame) -> DataFrame:
     """(class): ``labelled`` classes and every class connected with them by near-duplicate links.
 
-    ``reps`` has class, hash, n_shingles and prefix, ``texts`` the text of each class. Pairs
-    that no SimHash table brings together are found by their least shingles: two sets of the
-    needed similarity share one of these, so no link is lost.
+    ``reps`` has class, hash, n_shingles and prefix (a class may have several equal rows),
+    ``texts`` gives (class, text) of the classes it is asked for. Pairs that no SimHash table brings together are found by
+    their least shingles within the length buckets: two sets of the needed similarity share
+    one of these, so no link is lost. Lengths outside the frontier's range are not read.
     """
     found = materialise(labelled.select("class").distinct(), "residue-round")
     frontier = found
-    tables = _tables(reps, probe=False)
-    least = reps.select("class", "n_shingles", F.explode("prefix").alias("shingle"))
     while True:  # each round adds a class, so it ends
-        near = _tables(reps.join(frontier, "class", "left_semi"), probe=True).select(
+        lengths = reps.join(frontier, "class", "left_semi").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi")).first()
+        if lengths["lo"] is None:
+            break
+        near_len = reps.where(F.col("n_shingles").between(math.floor(MIN_SIMILARITY * lengths["lo"]), math.ceil(lengths["hi"] / MIN_SIMILARITY)))
+        every = near_len.select("class", "hash", "n_shingles").distinct()
+        front = reps.join(frontier, "class", "left_semi")
+        probe = _tables(front.select("class", "hash", "n_shingles").distinct(), probe=True).select(
             F.col("class").alias("a"), F.col("hash").alias("ha"), F.col("n_shingles").alias("na"), "bucket", "band", "bits"
         )
         pairs = (
-            near.join(tables, ["band", "bits", "bucket"])
+            probe.join(_tables(every, probe=False), ["band", "bits", "bucket"])
             .where("a <> class AND bit_count(ha ^ hash) <= " + str(MAX_HAMMING))
             .select("a", "class", "na", "n_shingles")
         )
-        front = least.join(frontier, "class", "left_semi").select(F.col("class").alias("a"), F.col("n_shingles").alias("na"), "shingle")
-        pairs = pairs.unionByName(front.join(least, "shingle").where("a <> class").select("a", "class", "na", "n_shingles"))
+        least = near_len.select("class", "n_shingles", _bucket().alias("bucket"), F.explode("prefix").alias("shingle")).distinct()
+        asked = front.select("class", "n_shingles", "prefix").select(F.col("class").alias("a"), F.col("n_shingles").alias("na"), "prefix", _near_buckets().alias("bucket"))
+        asked = asked.select("a", "na", "bucket", F.explode("prefix").alias("shingle")).distinct()
+        pairs = pairs.unionByName(asked.join(least, ["bucket", "shingle"]).where("a <> class").select("a", "class", "na", "n_shingles"))
         pairs = (
             pairs.where(f"least(na, n_shingles) >= {MIN_SIMILARITY} * greatest(na, n_shingles)").select("a", "class").distinct().join(found, "class", "left_anti")
         )
         pairs = materialise(pairs, "residue-pairs")
         if pairs.isEmpty():
             break
-        sets = texts.join(pairs.select("class").unionByName(pairs.select(F.col("a").alias("class"))).distinct(), "class", "left_semi").select("class", shingle_set("text").alias("s"))
+        wanted = pairs.select("class").unionByName(pairs.select(F.col("a").alias("class"))).distinct()
+        sets = materialise(texts(wanted).select("class", shingle_set("text").alias("s")), "residue-sets")
         both = pairs.join(sets, "class").join(sets.select(F.col("class").alias("a"), F.col("s").alias("sa")), "a")
         common = F.size(F.array_intersect("s", "sa"))
         alike = common >= MIN_SIMILARITY * (F.size("s") + F.size("sa") - common)
@@ -304,19 +416,44 @@ def propagate(reps: DataFrame, texts: DataFrame, labelled: DataFrame) -> DataFra
     return found
 
 
+def labelled_docs(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """(doc_id, route): documents whose whole text is labelled, or whose labelled lines leave only a title or menu.
+
+    At most three tenths as much content (lines with a sentence) may stand beside the
+    labelled lines, and titles and menus of five times their length and 120 characters.
+    route: ``trusted`` (nothing but residue), ``linked`` (found through its classes) or
+    ``line`` (a message that no document consists of).
+    """
+    labels = members.select("class", "trusted").join(linked, "class", "left_semi").groupBy("class").agg(F.max("trusted").alias("label"))
+    flagged = members.select("doc_id", "total", "view", "class", "n_chars", "content", "trusted").join(labels, "class", "left")
+    line, hit = F.col("view") > 0, F.col("label").isNotNull()
+    sums = flagged.groupBy("doc_id").agg(
+        F.max((F.col("view") == 0) & hit).alias("whole"),
+        F.max("total").alias("total"),
+        F.sum(F.when(line & hit, F.col("n_chars")).otherwise(0)).alias("bad"),
+        F.sum(F.when(line & ~hit & F.col("content"), F.col("n_chars")).otherwise(0)).alias("good"),
+        F.max("trusted").alias("own"),
+        F.min(F.when(hit, F.col("label"))).alias("label"),
+    )
+    route = F.when(F.col("own") == WHOLE, "trusted").when((F.col("own") == LINE) & (F.col("label") == LINE), "line").otherwise("linked")
+    return sums.where("whole OR (bad > 0 AND good <= 0.3 * bad AND total <= 6 * bad + 120)").select("doc_id", route.alias("route"))
+
+
 def residue_docs(documents: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(doc_id, reason): placeholder, dummy text, residue (trusted or linked to a trusted class)."""
-    members = materialise(classes(documents, key), "residue-members")  # hashed once, scanned every round
-    reps = members.groupBy("class").agg(F.min("hash").alias("hash"), F.min("n_shingles").alias("n_shingles"), F.min("doc_id").alias("doc_id"), F.max("trusted").alias("trusted"), F.min("prefix").alias("prefix"))
-    reps = materialise(reps, "residue-classes")
-    texts = documents.select(F.col(key).alias("doc_id"), _text().alias("text")).join(reps.select("class", "doc_id"), "doc_id").select("class", "text")
-    linked = propagate(reps, texts, reps.where("trusted"))
-    whole = members.join(linked, "class", "left_semi").select("doc_id")
-    parts = [(whole, "residue"), (dummy_docs(documents, key), "dummy"), (placeholder_docs(documents, key), "placeholder")]
-    out = None
-    for df, reason in parts:
-        df = df.select("doc_id", F.lit(reason).alias("reason"))
-        out = df if out is None else out.unionByName(df)
+    """(doc_id, reason): placeholder, dummy (runs of dummy words), or the route of ``labelled_docs``."""
+    members = materialise(views(documents, key), "residue-views")  # hashed once, scanned every round
+    marks = materialise(marked(documents, key), "residue-marks")
+    reps = members.select("class", "hash", "n_shingles", "prefix")
+    one = F.min(F.struct("doc_id", "view")).alias("at")
+
+    def texts_of(classes: DataFrame) -> DataFrame:
+        at = members.select("class", "doc_id", "view").join(classes, "class", "left_semi").groupBy("class").agg(one).select("class", "at.doc_id", "at.view")
+        return documents.select(F.col(key).alias("doc_id"), _text().alias("text")).join(at, "doc_id").select("class", view_text("text", "view").alias("text"))
+
+    linked = propagate(reps, texts_of, members.where("trusted > 0"))
+    out = labelled_docs(members, linked).withColumnRenamed("route", "reason")
+    for df, reason in ((marks.where("dummy"), "dummy"), (placeholder_docs(marks), "placeholder")):
+        out = out.unionByName(df.select("doc_id", F.lit(reason).alias("reason")))
     return out.groupBy("doc_id").agg(F.max("reason").alias("reason"))
 
 

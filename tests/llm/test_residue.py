@@ -46,7 +46,7 @@ def test_label_spreads_to_near_duplicates(spark):
     texts = {"a": seed, "b": seed + " extra", "c": seed + " extra more", "d": LONG}
     hashes = {k: rs.shingles(t) for k, t in texts.items()}
     reps = spark.createDataFrame([(k, rs.simhash(h), len(h), rs.prefix(h).tolist()) for k, h in hashes.items()], "class string, hash bigint, n_shingles int, prefix array<bigint>")
-    got = {r["class"] for r in rs.propagate(reps, spark.createDataFrame(list(texts.items()), "class string, text string"), reps.where("class = 'a'")).collect()}
+    got = {r["class"] for r in rs.propagate(reps, lambda wanted: spark.createDataFrame(list(texts.items()), "class string, text string").join(wanted, "class"), reps.where("class = 'a'")).collect()}
     assert got == {"a", "b", "c"}
 
 
