@@ -1,16 +1,22 @@
 """Problem 7: text cut off by field limits or mid-transfer.
 
 Method: per source and column, histograms of the length in characters and in bytes are
-tested for spikes at the maximum (a length whose texts without a proper end exceed those
-of the lengths just below it by far); values at a spike length without terminal
-punctuation are flagged. Values of any length that visibly lack their end (an open table
-row or bracket, a replacement character, an ellipsis, a word or clause that the corpus
-only ever continues) are flagged as cut in transfer.
-
-What is a whole remark although it has no full stop is learned from the corpus: for the
-last word and its two predecessors it is counted how often the text ends there, goes on,
-or has a longer word there. All counts are grouped with map-side combine; the join back is
-on the (context, word) key of the few values that end without punctuation.
+tested for spikes: a length whose texts without terminal punctuation exceed those of the
+lengths around it by far. The present limit makes the spike at the maximum; a limit that a
+source had before leaves one below it, which is found alike. Values at a spike length without terminal punctuation are flagged (``limit_chars``,
+``limit_bytes``); what ends as its kind must (a full stop, a closed table row or bracket) is
+spared. That decides every value at a limit, and no other rule reads it.
+
+Values of any other length have no spike to be found by. They are flagged as ``transfer``
+where they visibly lack their end (an open table row or bracket, a replacement character,
+an ellipsis, a word or clause that the corpus only ever continues). What is a whole remark
+although it has no full stop is learned from the corpus: for the last word and its two
+predecessors it is counted how often the text ends there, goes on, or has a longer word
+there. All counts are grouped with map-side combine; the join back is on the (context,
+word) key of the few values that end without punctuation.
+
+Cost at scale: the cells are read and judged once and written, with their text, to the
+shared folder; histograms have one row per source, column and length, whatever the table.
 
 Defined results: null and blank cells are no case; a whole table row, caption or remark is
 none, however it ends; repeated rows are reported each and counted each; null source is a
@@ -21,6 +27,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..runtime import materialise
+
 FIELDS = ("_evidence_Km", "_evidence_Vmax", "_evidence_kcat")
 
 _CONC = r"(?:[mμµunp]?M|[mμµun]?mol(?:/[mμ]?L| ?·?L(?:\^-1|-1|⁻¹)| ?·?dm(?:\^-3|-3|⁻³)| ?·?m(?:\^-3|-3|⁻³))|(?:milli|micro|nano)?molar|[mμµun]?g(?:/m?L| ?m?L(?:\^-1|-1|⁻¹))|% w/v|a\.u\.)"
@@ -86,33 +94,42 @@ def with_signs(long: DataFrame) -> DataFrame:
     )
 
 
+def _words() -> Column:
+    return F.split(F.trim(_norm(F.col("text"))), r"\s+")
+
+
 def _last_words(long: DataFrame) -> DataFrame:
-    words = F.split(F.trim(_norm(F.col("text"))), r"\s+")
+    """Adds word, the last one, and context, the two before it."""
+    words = _words()
     n = F.size(words)
     context = F.concat_ws(" ", F.when(n > 2, F.element_at(words, -3)), F.when(n > 1, F.element_at(words, -2)))
     return long.select("*", context.alias("context"), F.element_at(words, -1).alias("word"))
 
 
-def learned_ends(signed: DataFrame) -> DataFrame:
-    """(context, word, whole) of every undecided ending: the corpus ends there more often than it goes on."""
-    prose = signed.where("shape = 'prose'")
-    words = F.split(F.trim(_norm(F.col("text"))), r"\s+")
-    grams = prose.select(words.alias("w")).selectExpr(
+def learned_ends(prose: DataFrame, ends: DataFrame) -> DataFrame:
+    """(context, word, learned_whole) of every undecided ending: the corpus ends there more often than it goes on.
+
+    ``prose`` has the texts, ``ends`` the distinct (context, word) to judge. Only words in
+    their contexts are counted, and of all other words only how often they occur and end.
+    """
+    grams = prose.select(_words().alias("w")).selectExpr(
         "inline(transform(sequence(1, size(w)), i -> named_struct('context', concat_ws(' ', IF(i > 2, get(w, i - 3), NULL), IF(i > 1, get(w, i - 2), NULL)), 'word', w[i - 1], 'last', i = size(w))))"
     )
-    counts = grams.groupBy("context", "word").agg(F.count_if("last").alias("n_end"), F.count_if(~F.col("last")).alias("n_on"))
-    ends = _last_words(signed.where("end = 'open'")).select("context", "word").distinct()
+    in_context = grams.join(ends.select("context").distinct(), "context", "left_semi")
+    counts = in_context.groupBy("context", "word").agg(F.count_if("last").alias("n_end"), F.count_if(~F.col("last")).alias("n_on"))
     # a longer word in the same context: each word gives its proper prefixes, joined on equality
-    in_context = counts.join(ends.select("context").distinct(), "context", "left_semi")
     longer = (
-        in_context.where("length(word) > 1")
+        counts.where("length(word) > 1")
         .selectExpr("context", "explode(transform(sequence(1, length(word) - 1), k -> substr(word, 1, k))) AS word", "n_end + n_on AS n")
         .groupBy("context", "word")
         .agg(F.sum("n").alias("n_longer"))
     )
     # rare endings also ask whether any context has a longer word with this beginning
     anywhere = (
-        counts.groupBy("word").agg(F.sum("n_end").alias("e"), F.sum(F.col("n_end") + F.col("n_on")).alias("n"))
+        prose.select(_words().alias("w"))
+        .selectExpr("posexplode(w) AS (i, word)", "size(w) AS n")
+        .groupBy("word")
+        .agg(F.count_if(F.expr("i = n - 1")).alias("e"), F.count("*").alias("n"))
         .selectExpr("inline(transform(sequence(1, length(word)), k -> named_struct('word', substr(word, 1, k), 'n_any_longer', IF(k < length(word), n, 0), 'n_any_end', IF(k = length(word), e, 0))))")
         .join(ends.select("word").distinct(), "word", "left_semi")
         .groupBy("word")
@@ -143,23 +160,26 @@ def spikes(endless: DataFrame, ratio: float = 5.0, least: int = 5, near: int = 8
     return by_len.where((F.col("own") >= least) & (F.col("own") > ratio * F.col("around") / (2 * near))).select("source", "field", "unit", "len")
 
 
+def at_spikes(rows: DataFrame, peaks: DataFrame) -> DataFrame:
+    """Adds at_chars and at_bytes: the row's length is a spike of its source and column."""
+    for unit in ("chars", "bytes"):
+        p = peaks.where(F.col("unit") == unit).select(F.col("source").alias("_s"), F.col("field").alias("_f"), F.col("len").alias("_n"), F.lit(True).alias(f"at_{unit}"))
+        rows = rows.join(p, F.col("source").eqNullSafe(F.col("_s")) & (F.col("field") == F.col("_f")) & (F.col(f"n_{unit}") == F.col("_n")), "left").drop("_s", "_f", "_n")
+    return rows.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("at_chars", "at_bytes")})
+
+
 def cut_cells(kinetics: DataFrame, fields: tuple[str, ...] = FIELDS, key: str = "kin_id") -> DataFrame:
     """(kin_id, source, field, reason) of every cell that lost its end; reason: limit_chars, limit_bytes or transfer."""
-    signed = with_signs(cells(kinetics, fields, key))
-    decided = signed.where("end = 'cut'").withColumn("learned_whole", F.lit(False))
-    undecided = _last_words(signed.where("end = 'open'")).join(learned_ends(signed), ["context", "word"], "left")
-    undecided = undecided.withColumn("learned_whole", F.coalesce("learned_whole", F.lit(False)))
-    names = ["kin_id", "source", "field", "text", "n_chars", "n_bytes", "learned_whole"]
-    rows = decided.select(names).unionByName(undecided.select(names))
-    peaks = spikes(rows.where("NOT learned_whole"))
-    at_chars = peaks.where("unit = 'chars'").select("source", "field", F.col("len").alias("n_chars"), F.lit(True).alias("at_chars"))
-    at_bytes = peaks.where("unit = 'bytes'").select("source", "field", F.col("len").alias("n_bytes"), F.lit(True).alias("at_bytes"))
-    for peak, n in ((at_chars, "n_chars"), (at_bytes, "n_bytes")):
-        p = peak.select(F.col("source").alias("_s"), F.col("field").alias("_f"), F.col(n).alias("_n"), F.col("at_" + n[2:]))
-        rows = rows.join(p, F.col("source").eqNullSafe(F.col("_s")) & (F.col("field") == F.col("_f")) & (F.col(n) == F.col("_n")), "left").drop("_s", "_f", "_n")
-    reason = F.when(F.col("at_chars"), "limit_chars").when(F.col("at_bytes"), "limit_bytes").otherwise("transfer")
-    # at a field limit a text without its end is cut even if the corpus knows that ending
-    return rows.where("NOT learned_whole OR at_chars OR at_bytes").select("kin_id", "source", "field", reason.alias("reason"))
+    signed = materialise(with_signs(cells(kinetics, fields, key)), "cut-cells")
+    endless = _last_words(signed.where("end <> 'whole'").drop("terminal"))
+    ends = materialise(endless.where("end = 'open'").select("context", "word").distinct(), "cut-endings")
+    learned = learned_ends(signed.where("shape = 'prose'").select("text"), ends)
+    rows = endless.join(learned, ["context", "word"], "left").withColumn("learned_whole", (F.col("end") == "open") & F.coalesce("learned_whole", F.lit(False)))
+    rows = materialise(rows.select("kin_id", "source", "field", "text", "n_chars", "n_bytes", "learned_whole"), "cut-endless")
+    rows = at_spikes(rows, spikes(rows.where("NOT learned_whole")))
+    # a length at a spike decides alone: there a text without its end is cut even if the corpus knows that ending
+    reason = F.when(F.col("at_chars"), "limit_chars").when(F.col("at_bytes"), "limit_bytes").when(~F.col("learned_whole"), "transfer")
+    return rows.select("kin_id", "source", "field", reason.alias("reason")).where("reason IS NOT NULL")
 
 
 def cut_shares(kinetics: DataFrame, fields: tuple[str, ...] = FIELDS, key: str = "kin_id") -> DataFrame:
