@@ -371,7 +371,7 @@ def _tables(reps: DataFrame, probe: bool) -> DataFrame:
 def propagate(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], labelled: DataFrame) -> DataFrame:
     """(class): ``labelled`` classes and every class connected with them by near-duplicate links.
 
-    ``reps`` has class, hash, n_shingles and prefix (a class may have several equal rows),
+    ``reps`` has class, hash, n_shingles and prefix, one row per class,
     ``texts`` gives (class, text) of the classes it is asked for. Pairs that no SimHash table brings together are found by
     their least shingles within the length buckets: two sets of the needed similarity share
     one of these, so no link is lost. Lengths outside the frontier's range are not read.
@@ -379,24 +379,22 @@ def propagate(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], labelled
     found = materialise(labelled.select("class").distinct(), "residue-round")
     frontier = found
     while True:  # each round adds a class, so it ends
-        lengths = reps.join(frontier, "class", "left_semi").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi")).first()
+        lengths = reps.select("class", "n_shingles").join(frontier, "class", "left_semi").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi")).first()
         if lengths["lo"] is None:
             break
         near_len = reps.where(F.col("n_shingles").between(math.floor(MIN_SIMILARITY * lengths["lo"]), math.ceil(lengths["hi"] / MIN_SIMILARITY)))
-        every = near_len.select("class", "hash", "n_shingles").distinct()
-        front = reps.join(frontier, "class", "left_semi")
-        probe = _tables(front.select("class", "hash", "n_shingles").distinct(), probe=True).select(
-            F.col("class").alias("a"), F.col("hash").alias("ha"), F.col("n_shingles").alias("na"), "bucket", "band", "bits"
-        )
+        front = materialise(near_len.join(frontier, "class", "left_semi"), "residue-front")
+        probe = _tables(front, probe=True).select(F.col("class").alias("a"), F.col("hash").alias("ha"), F.col("n_shingles").alias("na"), "bucket", "band", "bits")
+        probe = materialise(probe, "residue-probe")  # its size is known, so a small one is not met by a shuffle of all tables
         pairs = (
-            probe.join(_tables(every, probe=False), ["band", "bits", "bucket"])
+            _tables(near_len, probe=False).join(probe, ["band", "bits", "bucket"])
             .where("a <> class AND bit_count(ha ^ hash) <= " + str(MAX_HAMMING))
             .select("a", "class", "na", "n_shingles")
         )
-        least = near_len.select("class", "n_shingles", _bucket().alias("bucket"), F.explode("prefix").alias("shingle")).distinct()
-        asked = front.select("class", "n_shingles", "prefix").select(F.col("class").alias("a"), F.col("n_shingles").alias("na"), "prefix", _near_buckets().alias("bucket"))
-        asked = asked.select("a", "na", "bucket", F.explode("prefix").alias("shingle")).distinct()
-        pairs = pairs.unionByName(asked.join(least, ["bucket", "shingle"]).where("a <> class").select("a", "class", "na", "n_shingles"))
+        least = near_len.select("class", "n_shingles", _bucket().alias("bucket"), F.explode("prefix").alias("shingle"))
+        asked = front.select(F.col("class").alias("a"), F.col("n_shingles").alias("na"), "prefix", _near_buckets().alias("bucket"))
+        asked = materialise(asked.select("a", "na", "bucket", F.explode("prefix").alias("shingle")), "residue-asked")
+        pairs = pairs.unionByName(least.join(asked, ["bucket", "shingle"]).where("a <> class").select("a", "class", "na", "n_shingles"))
         pairs = (
             pairs.where(f"least(na, n_shingles) >= {MIN_SIMILARITY} * greatest(na, n_shingles)").select("a", "class").distinct().join(found, "class", "left_anti")
         )
@@ -443,7 +441,7 @@ def residue_docs(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     """(doc_id, reason): placeholder, dummy (runs of dummy words), or the route of ``labelled_docs``."""
     members = materialise(views(documents, key), "residue-views")  # hashed once, scanned every round
     marks = materialise(marked(documents, key), "residue-marks")
-    reps = members.select("class", "hash", "n_shingles", "prefix")
+    reps = materialise(members.select("class", "hash", "n_shingles", "prefix").distinct(), "residue-classes")
     one = F.min(F.struct("doc_id", "view")).alias("at")
 
     def texts_of(classes: DataFrame) -> DataFrame:
