@@ -38,20 +38,32 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the session's ``spark.checkpoint.dir``.
+    """The folder all executors share: the session's ``spark.checkpoint.dir``, else its checkpoint folder.
 
-    Only where the session names none (tests, local mode) a temporary folder of this
-    machine is made and stored in the session, so that later calls reuse it.
+    Only where the session names none and runs in one process (tests, local mode) a
+    temporary folder of this machine is made and stored in the session, so that later calls
+    reuse it. On a cluster a missing setting is an error: a local folder would be another
+    one on every executor.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not named:
+        named = sc.getCheckpointDir()
     if not named:
         named = spark.conf.get("assayflow.shared.dir", None)
     if not named:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='assayflow-')}"
         spark.conf.set("assayflow.shared.dir", named)
     return named.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors are one process on one machine."""
+    return master == "local" or (master.startswith("local[") and master.endswith("]"))
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
