@@ -2,22 +2,26 @@
 
 Method: a BK-tree over the surface forms of the reference entries under the unrestricted
 Damerau-Levenshtein distance, which is a metric; the triangle inequality prunes, and every
-form within the threshold is returned. The reference list is broadcast while it has at
-most ``SHARD_ENTRIES`` entries per shard; a larger list is split into shards, each value
-meets every shard and the shard winners merge by one ``min_by``.
+form within the threshold is returned. A reference list of at most ``SHARD_ENTRIES`` entries,
+which is counted first, is broadcast. A larger one is never collected: its entries are keyed
+into shards of that size, each value goes to every shard, a task holds the tree of one shard,
+and the shard winners merge by one ``min_by``.
 
 A value is looked up by its contiguous word spans (spaces, hyphens and brackets aside) and
 by its rotations ("decomposition, thermal"), so that qualifiers around the term do not
-count as errors. The cheapest hit wins: its distance plus a small price for words that
-are left over. Values that no entry explains but that the corpus repeats often are terms
-of their own; a rarer value closer to such a term than to an entry is unmatched too.
-
-Only distinct values are looked up; rows are joined back on (field, value), both sides
+count as errors. Spans and rotations longer than the longest form and its threshold are
+within no form's reach and are not built; nothing else bounds them. The threshold grows with
+the form: none below five letters, one at five, two from six (``radius``). The cheapest hit
+wins: its distance plus a small price for words that are left over. Values that no entry
+explains but that the corpus repeats often are terms of their own; a rarer value closer to
+such a term than to an entry is unmatched too.
+
+Only distinct values are looked up, once; rows are joined back on (field, value), both sides
 pre-aggregated or small, so a value that a third of the rows share costs one lookup.
 
 Defined results: null and blank values give no row; a value without an entry has term_id
 -1; ties go to the lower term_id; repeated records give their rows each; very long values
-are looked up by all their spans of up to five words; an empty reference list maps all to -1.
+are looked up by all their spans; an empty reference list maps all to -1.
 """
 
 from __future__ import annotations
@@ -29,17 +33,20 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from ..runtime import materialise
+
 FIELDS = {
     "enzyme_like_type": "main_activity.enzyme_like_type",
     "assay_method": "main_activity.assay_method",
     "synthesis_method": "selected_nanozyme.synthesis_method",
 }
 SHARD_ENTRIES = 2_000
-MAX_SPAN = 5
 #: Price of a letter that the hit leaves unexplained.
 LEFT_OVER = 0.4
 #: A term of its own: at least this many rows and this share of the field's values (so at most 500 per field).
 OWN_TERM_ROWS, OWN_TERM_SHARE = 5, 0.002
+#: A value this near to such a term, and nearer than to any entry, means that term.
+OWN_TERM_RADIUS = 2
 
 _STOP = set("a an and as at by for from in of on or the to under using via with".split())
 # Words that qualify any entry and carry no meaning of their own.
@@ -178,6 +185,9 @@ class Matcher:
             for f, r in surface_forms(names).items():
                 self.terms[f], self.radii[f] = term, r  # the lower term_id keeps a shared form
         self.tree = BKTree(sorted(self.terms))
+        self.most = max(self.radii.values(), default=0)
+        self.longest = max(map(len, self.terms), default=0) + self.most
+        self.least = min((len(f) - r for f, r in self.radii.items() if r), default=0)
         self.cache: dict[str, list[tuple[int, str]]] = {}
 
     def near(self, word: str) -> list[tuple[int, str]]:
@@ -185,7 +195,7 @@ class Matcher:
             return [(0, word)]
         got = self.cache.get(word)
         if got is None:
-            got = self.tree.within(word, 2) if len(word) >= 4 else []
+            got = self.tree.within(word, self.most) if self.least <= len(word) <= self.longest else []
             got = [(d, f) for d, f in got if d <= self.radii[f]]
             if len(self.cache) < 200_000:
                 self.cache[word] = got
@@ -203,10 +213,16 @@ class Matcher:
             n = len(ts)
             weight = [0 if t in _NEUTRAL else len(t) for t in ts]
             total = sum(weight)
-            spans = [(i, j) for i in range(n) for j in range(i + 1, min(n, i + MAX_SPAN) + 1)]
-            words = {("".join(ts[i:j]), sum(weight[i:j])) for i, j in spans}
+            words = set()
+            for i in range(n):
+                length = used = 0
+                for j in range(i, n):
+                    length, used = length + len(ts[j]), used + weight[j]
+                    if length > self.longest:
+                        break
+                    words.add(("".join(ts[i : j + 1]), used))
             core = [t for t in ts if t not in _NEUTRAL]
-            if len(core) <= 2 * MAX_SPAN:
+            if sum(map(len, core)) <= self.longest:
                 words |= {("".join(core[k:] + core[:k]), total) for k in range(len(core))}
             for w, used in words:
                 for d, f in self.near(w):
@@ -218,36 +234,54 @@ class Matcher:
         return None if found is None else (found[1], found[0])
 
 
-def _lookup(distinct: DataFrame, entries: list[tuple[str, int, list[str]]], own: list[tuple[str, str]]) -> DataFrame:
-    """(field, value, term_id, cost) of the cheapest entry per distinct value; one row per shard, merged."""
-    shards = [entries[i : i + SHARD_ENTRIES] for i in range(0, len(entries), SHARD_ENTRIES)] or [[]]
-    spark = distinct.sparkSession
-    shared = spark.sparkContext.broadcast((shards, own))
-
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shards, own = shared.value
-        built: dict[tuple[int, str], Matcher] = {}
-        own_trees: dict[str, BKTree] = {}
-        for b in batches:
-            rows = []
-            for field, value, shard in zip(b["field"], b["value"], b["shard"]):
-                m = built.get((shard, field))
-                if m is None:
-                    m = built[(shard, field)] = Matcher([(t, names) for f, t, names in shards[shard] if f == field])
-                hit = m.best(value)
-                if hit and hit[1] >= 1 and own:
-                    tree = own_trees.get(field)
-                    if tree is None:
-                        tree = own_trees[field] = BKTree(sorted({w for f, w in own if f == field}))
-                    core = "".join(t for t in tokens(value) if t not in _STOP and t not in _NEUTRAL)
-                    if any(d < hit[1] for d, _ in tree.within(core, 2)):
-                        hit = None
-                rows.append((field, value, hit[0] if hit else -1, hit[1] if hit else 1e9))
-            yield pd.DataFrame(rows, columns=["field", "value", "term_id", "cost"])
-
-    crossed = distinct.select("field", "value", F.explode(F.array(*[F.lit(i) for i in range(len(shards))])).alias("shard"))
-    hits = crossed.mapInPandas(find, "field string, value string, term_id int, cost double")
-    return hits.groupBy("field", "value").agg(F.min_by("term_id", F.struct("cost", "term_id")).alias("term_id"), F.min("cost").alias("cost"))
+def core_of(value: str) -> str:
+    """The letters of a value without words that only qualify."""
+    return "".join(t for t in tokens(value) if t not in _STOP and t not in _NEUTRAL)
+
+
+_HIT = "field string, value string, n bigint, core string, term_id int, cost double"
+
+
+def _hits(values: pd.DataFrame, matchers: dict[str, Matcher]) -> pd.DataFrame:
+    rows = []
+    for field, value, n in zip(values["field"], values["value"], values["n"]):
+        hit = matchers[field].best(value) if field in matchers else None
+        rows.append((field, value, n, core_of(value), hit[0] if hit else -1, hit[1] if hit else 1e9))
+    return pd.DataFrame(rows, columns=["field", "value", "n", "core", "term_id", "cost"])
+
+
+def _matchers(entries: list[tuple[str, int, list[str]]]) -> dict[str, Matcher]:
+    return {f: Matcher([(t, names) for g, t, names in entries if g == f]) for f in {e[0] for e in entries}}
+
+
+def lookup(counted: DataFrame, reference: DataFrame) -> DataFrame:
+    """(field, value, n, core, term_id, cost): the cheapest entry of every row of ``counted`` (field, value, n)."""
+    spark = counted.sparkSession
+    entries = reference.where("canonical IS NOT NULL AND term_id IS NOT NULL AND field IS NOT NULL").select(
+        "field", F.col("term_id").cast("int").alias("term_id"), F.concat(F.array("canonical"), F.coalesce(F.array_compact("aliases"), F.array().cast("array<string>"))).alias("names")
+    )
+    size = entries.count()
+    tasks = max(2, spark.sparkContext.defaultParallelism)
+    if size <= SHARD_ENTRIES:
+        shared = spark.sparkContext.broadcast([tuple(r) for r in entries.collect()])
+
+        def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            matchers = _matchers(shared.value)
+            for b in batches:
+                yield _hits(b, matchers)
+
+        return counted.repartition(tasks, "field", "value").mapInPandas(find, _HIT)
+    shards = -(-size // SHARD_ENTRIES)
+    parts = max(1, -(-2 * tasks // shards))  # tasks that share a shard's values
+    shard = F.pmod(F.xxhash64("field", "term_id"), F.lit(shards)).cast("int")
+    keyed = entries.select("*", shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    asked = counted.select("field", "value", "n", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.xxhash64("field", "value"), F.lit(parts)).cast("int").alias("part"))
+
+    def find_in_shard(values: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+        return _hits(values, _matchers([(f, int(t), list(n)) for f, t, n in zip(part["field"], part["term_id"], part["names"])]))
+
+    hits = asked.groupBy("shard", "part").cogroup(keyed.groupBy("shard", "part")).applyInPandas(find_in_shard, _HIT)
+    return hits.groupBy("field", "value", "n", "core").agg(F.min_by("term_id", F.struct("cost", "term_id")).alias("term_id"), F.min("cost").alias("cost"))
 
 
 def long_values(records: DataFrame, key: str = "record_id") -> DataFrame:
@@ -256,18 +290,35 @@ def long_values(records: DataFrame, key: str = "record_id") -> DataFrame:
     return records.selectExpr(f"`{key}` AS record_id", f"inline(array({arms}))").where(r"value IS NOT NULL AND value NOT RLIKE '^[\\s\\p{Z}]*$'")
 
 
+def own_terms(looked_up: DataFrame) -> DataFrame:
+    """(field, core) of the terms that no entry explains and the corpus repeats; at most 1 / OWN_TERM_SHARE a field."""
+    totals = looked_up.groupBy("field").agg(F.sum("n").alias("total"))
+    unmatched = looked_up.where("term_id = -1").groupBy("field", "core").agg(F.sum("n").alias("n"))
+    return unmatched.join(totals, "field").where(f"length(core) >= 5 AND n >= {OWN_TERM_ROWS} AND n >= {OWN_TERM_SHARE} * total").select("field", "core")
+
+
 def map_values(records: DataFrame, reference: DataFrame, key: str = "record_id") -> DataFrame:
     """(record_id, field, value, term_id) of every value; -1 where no entry is meant."""
-    entries = [(r["field"], r["term_id"], [r["canonical"], *(r["aliases"] or [])]) for r in reference.select("field", "term_id", "canonical", "aliases").collect() if r["canonical"]]
     values = long_values(records, key)
-    counted = values.groupBy("field", "value").agg(F.count("*").alias("n")).repartition(max(2, records.sparkSession.sparkContext.defaultParallelism), "field", "value")
-    first = _lookup(counted, entries, [])
-    core = F.udf(lambda v: "".join(t for t in tokens(v) if t not in _STOP and t not in _NEUTRAL), "string")
-    totals = values.groupBy("field").agg(F.count("*").alias("total"))
-    unmatched = first.where("term_id = -1").join(counted, ["field", "value"]).withColumn("core", core("value")).groupBy("field", "core").agg(F.sum("n").alias("n"))
-    own = unmatched.join(totals, "field").where(f"length(core) >= 5 AND n >= {OWN_TERM_ROWS} AND n >= {OWN_TERM_SHARE} * total").select("field", "core")
-    own_terms = [(r["field"], r["core"]) for r in own.collect()]  # at most 1 / OWN_TERM_SHARE per field
-    return values.join(_lookup(counted, entries, own_terms).select("field", "value", "term_id"), ["field", "value"]).select("record_id", "field", "value", "term_id")
+    counted = values.groupBy("field", "value").agg(F.count("*").alias("n"))
+    looked_up = materialise(lookup(counted, reference), "canonical-values")  # looked up once, read three times
+    own: dict[str, list[str]] = {}
+    for r in own_terms(looked_up).collect():
+        own.setdefault(r["field"], []).append(r["core"])
+
+    @F.pandas_udf("boolean")
+    def is_own(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        trees = {f: BKTree(sorted(cores)) for f, cores in own.items()}
+        for fields, cores, costs in batches:
+            yield pd.Series([f in trees and any(d < c for d, _ in trees[f].within(w, OWN_TERM_RADIUS)) for f, w, c in zip(fields, cores, costs)])
+
+    if own:
+        unsure = looked_up.where("term_id <> -1 AND cost >= 1")
+        term = F.when(is_own("field", "core", "cost"), -1).otherwise(F.col("term_id"))
+        mapped = looked_up.where("term_id = -1 OR cost < 1").select("field", "value", "term_id").unionByName(unsure.select("field", "value", term.alias("term_id")))
+    else:
+        mapped = looked_up.select("field", "value", "term_id")
+    return values.join(mapped, ["field", "value"]).select("record_id", "field", "value", "term_id")
 
 
 def unmatched_report(mapped: DataFrame) -> DataFrame:
