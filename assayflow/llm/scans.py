@@ -33,6 +33,7 @@ import shutil
 import sqlite3
 import tempfile
 import uuid
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -66,6 +67,8 @@ _SUPPLEMENT = re.compile(r"S\d{1,4}")
 #: Signs of a scanner inside a word.
 _ODD = re.compile(r"[0-9!|]|ii|vv|rn|cl|li|in|ri")
 _MARKS = "-¬"
+#: More confusions in one word would cost more than leaving it unknown (see the prices of Decoder).
+MAX_CONFUSIONS = 3
 
 
 def normal(token: str) -> str:
@@ -326,6 +329,8 @@ class Decoder:
         self.words = lex["w"]
         self.lex = lex
         self.known_cache: dict[str, bool] = {}
+        # a lexicon that is partly in a file has no list of its beginnings; then every chain is followed to its end
+        self.prefixes = sorted({k.lower() for k in self.words}) if isinstance(self.words, dict) else None
         self.read_cache: dict[str, tuple[str, int] | None] = {}
 
     def known(self, token: str) -> bool:
@@ -344,12 +349,6 @@ class Decoder:
             return True
         return self.words.get(key.lower(), 0) >= 2
 
-    def variants(self, core: str) -> Iterator[str]:
-        for i, ch in enumerate(core):
-            for a, b in _BY_FIRST.get(ch, ()):
-                if core.startswith(a, i):
-                    yield core[:i] + b + core[i + len(a) :]
-
     def reading(self, token: str) -> tuple[str, int] | None:
         """(token as it stood, confusions undone) for a token that is not known, else None."""
         if token in self.read_cache:
@@ -378,34 +377,57 @@ class Decoder:
             return part.replace(core, core.translate(str.maketrans("OolI", "0011")), 1), 1
         if len(core) < 3 or not (core[0].isalnum() or core[0] in "!|" and core[1].islower()) or sum(c.isalpha() for c in core) < 1 + (not any(c.isdigit() for c in core)):
             return None
-        first, best = [], None
-        words = self.words
-        for v in self.variants(core):
-            first.append(v)
-            n = words.get(v.lower() if v.isalpha() else normal(v), 0)
-            if n >= 3 and (best is None or n > best[1]):
-                best = (v, n)
-        depth = 1
-        odd = _ODD.search(core) is not None
-        if best is None and (odd or core.islower()):
-            depth = 2
-            second = set()
-            for v in first:
-                second.update(self.variants(v))
-            for w in second:
-                n = words.get(w.lower() if w.isalpha() else normal(w), 0)
-                if n >= 3 and (best is None or (n, w) > (best[1], best[0])):
-                    best = (w, n)
-            if best is None and odd and len(core) >= 7:
-                depth = 3
-                for v in sorted(second):
-                    for w in self.variants(v):
-                        n = words.get(w.lower() if w.isalpha() else normal(w), 0)
-                        if n >= 5 and (best is None or n > best[1]):
-                            best = (w, n)
+        best = self.nearest(core)
         if best is None:
             return None
-        return part[:lead] + best[0] + part[lead + len(core) :], depth
+        return part[:lead] + best[0] + part[lead + len(core) :], best[1]
+
+    def nearest(self, core: str) -> tuple[str, int] | None:
+        """(the word of fewest confusions that may have been read as ``core``, their number).
+
+        Among words of equally many the most frequent. Every chain of confusions is followed
+        letter by letter through the sorted lexicon, as far as a word goes on so. Three cost as
+        much as a reading may; a fourth would be dearer than leaving the token unknown.
+        """
+        for depth in range(1, MAX_CONFUSIONS + 1):
+            if depth == MAX_CONFUSIONS and (len(core) < 7 or not _ODD.search(core)):
+                break  # so much is only assumed where the token shows it
+            best = None
+            for v in self._readable(core, depth):
+                n = self.words.get(v.lower() if v.isalpha() else normal(v), 0)
+                if n >= (3 if depth < MAX_CONFUSIONS else 5) and (best is None or (n, v) > (best[1], best[0])):
+                    best = (v, n)
+            if best:
+                return best[0], depth
+        return None
+
+    def _goes_on(self, start: str) -> bool:
+        """Whether a word of the lexicon begins with ``start``, as far as this can be told from letters alone."""
+        key = start.lower()
+        if self.prefixes is None or not key.isalpha():
+            return True
+        i = bisect_left(self.prefixes, key)
+        return i < len(self.prefixes) and self.prefixes[i].startswith(key)
+
+    def _readable(self, core: str, depth: int) -> set[str]:
+        """Every reading of ``core`` by exactly ``depth`` confusions, one after the other from left to right, that the lexicon goes on with."""
+        out: set[str] = set()
+        todo = [("", 0, depth)]
+        n = len(core)
+        while todo:
+            done, i, left = todo.pop()
+            if i == n:
+                if not left:
+                    out.add(done)
+                continue
+            if left > n - i or not self._goes_on(done):
+                continue
+            todo.append((done + core[i], i + 1, left))
+            if left:
+                for a, b in _BY_FIRST.get(core[i], ()):
+                    if core.startswith(a, i):
+                        todo.append((done + b, i + len(a), left - 1))
+        return out
 
     def joined(self, a: str, b: str) -> str:
         """``hyphen`` if a mark divides one word over a and b, ``compound`` or ``none``."""

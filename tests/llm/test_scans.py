@@ -51,3 +51,12 @@ def test_lexicon_stays_within_its_bound(spark, monkeypatch):
 def test_paragraphs():
     lines = ["A first line that runs on and on to the", "end of it.", "A second paragraph with as long a line as", "the first."]
     assert sc.paragraphs(lines) == [lines[:2], lines[2:]]
+
+
+def test_chains_of_confusions_in_any_word():
+    lex = {"w": {"acetate": 9, "illumination": 9, "buffer": 9}, "b": {}, "n": {}}
+    d = sc.Decoder(lex)
+    assert d.reading("Acctatc") == ("Acetate", 2) and d.reading("il1urnination") == ("illumination", 2)
+    slow = sc.Decoder(lex)
+    slow.prefixes = None  # without the list of beginnings the same words are found
+    assert all(slow.reading(t) == d.reading(t) for t in ("Acctatc", "buttcr", "1llumination", "i11umination", "acetate", "zzz"))
