@@ -350,6 +350,11 @@ def views(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     return texts.select("doc_id", F.length("text").alias("total"), F.explode(_views("text")).alias("v")).select("doc_id", "total", "v.*")
 
 
+def classes(documents: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The whole texts among ``views``."""
+    return views(documents, key).where("view = 0")
+
+
 def _bucket() -> Column:
     return F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1 / MIN_SIMILARITY))).cast("int")
 
@@ -368,11 +373,11 @@ def _tables(reps: DataFrame, probe: bool) -> DataFrame:
     return reps.select("class", "hash", "n_shingles", near.alias("bucket"), F.expr(f"array({bands})").alias("b")).selectExpr("class", "hash", "n_shingles", "bucket", "inline(b)")
 
 
-def propagate(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], labelled: DataFrame) -> DataFrame:
+def propagate(reps: DataFrame, texts: DataFrame | Callable[[DataFrame], DataFrame], labelled: DataFrame) -> DataFrame:
     """(class): ``labelled`` classes and every class connected with them by near-duplicate links.
 
     ``reps`` has class, hash, n_shingles and prefix, one row per class,
-    ``texts`` gives (class, text) of the classes it is asked for. Pairs that no SimHash table brings together are found by
+    ``texts`` has (class, text), or gives them for the classes it is asked for. Pairs that no SimHash table brings together are found by
     their least shingles within the length buckets: two sets of the needed similarity share
     one of these, so no link is lost. Lengths outside the frontier's range are not read.
     """
@@ -402,7 +407,7 @@ def propagate(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], labelled
         if pairs.isEmpty():
             break
         wanted = pairs.select("class").unionByName(pairs.select(F.col("a").alias("class"))).distinct()
-        sets = materialise(texts(wanted).select("class", shingle_set("text").alias("s")), "residue-sets")
+        sets = materialise((texts(wanted) if callable(texts) else texts.join(wanted, "class", "left_semi")).select("class", shingle_set("text").alias("s")), "residue-sets")
         both = pairs.join(sets, "class").join(sets.select(F.col("class").alias("a"), F.col("s").alias("sa")), "a")
         common = F.size(F.array_intersect("s", "sa"))
         alike = common >= MIN_SIMILARITY * (F.size("s") + F.size("sa") - common)

@@ -349,6 +349,13 @@ class Decoder:
             return True
         return self.words.get(key.lower(), 0) >= 2
 
+    def variants(self, core: str) -> Iterator[str]:
+        """Every reading of ``core`` by one confusion, whether a word or not."""
+        for i, ch in enumerate(core):
+            for a, b in _BY_FIRST.get(ch, ()):
+                if core.startswith(a, i):
+                    yield core[:i] + b + core[i + len(a) :]
+
     def reading(self, token: str) -> tuple[str, int] | None:
         """(token as it stood, confusions undone) for a token that is not known, else None."""
         if token in self.read_cache:
