@@ -114,18 +114,20 @@ def layout_elements(layout: object) -> list[dict]:
 def evidence_budget(sentences: DataFrame) -> DataFrame:
     """(paper_id, sent_key, phase): hard-recalled sentences, role minima, then greedy picks by priority and diversity.
 
-    Hard-recalled sentences are kept without a choice. Of the rest only the best
-    ``HARD_SENTENCES`` per role can ever be picked, so the greedy step sees bounded groups.
+    Hard-recalled sentences are kept without a choice. Of the others, those of one role and
+    one length are picked or found too long alike, in order of priority, so of each length
+    only the best ``HARD_SENTENCES`` per role can ever be picked; those longer than the
+    budget never are. So the greedy step sees bounded groups and loses no pick.
     """
     rows = sentences.where("text IS NOT NULL").select(
-        "paper_id", "sent_key", F.length("text").alias("size"), tx.tags(F.col("text")).alias("tags"), tx.sentence_score(F.col("text"), F.col("section")).alias("score"), "section",
+        "paper_id", "sent_key", F.length("text").alias("size"), tx.tags(F.col("text")).alias("tags"), tx.sentence_score(F.col("text"), F.col("section")).alias("score"), "section", "text", "contains_numeric",
         hit(F.lower("text"), "|".join(banks.HARD_RECALL.values())).alias("recalled"),
     )
-    rows = rows.select("paper_id", "sent_key", "size", F.coalesce(tx.primary_role(F.col("tags")), F.lit("none")).alias("role"), tx.sentence_priority(F.col("score"), F.col("tags"), F.col("section")).alias("priority"), "recalled")
+    rows = rows.select("paper_id", "sent_key", "size", F.coalesce(tx.primary_role(F.col("tags")), F.lit("none")).alias("role"), tx.sentence_priority(F.col("score"), F.col("tags"), F.col("section"), F.col("text"), F.col("contains_numeric")).alias("priority"), "recalled")
     rows = materialise(rows, "budget-rows")  # scored once, read three times
     kept = rows.where("recalled").select("paper_id", "sent_key", F.lit("recalled").alias("phase"))
     state = rows.where("recalled").groupBy("paper_id").agg(F.count("*").alias("n0"), F.sum("size").alias("c0"), F.array_join(F.array_sort(F.collect_set("role")), "|").alias("roles0"))
-    best = rows.where(f"NOT recalled AND priority >= {FLOOR}").withColumn("r", F.row_number().over(W.partitionBy("paper_id", "role").orderBy(F.desc("priority"), "sent_key"))).where(f"r <= {HARD_SENTENCES}").drop("r", "recalled")
+    best = rows.where(f"NOT recalled AND priority >= {FLOOR} AND size < {HARD_CHARS}").withColumn("r", F.row_number().over(W.partitionBy("paper_id", "role", "size").orderBy(F.desc("priority"), "sent_key"))).where(f"r <= {HARD_SENTENCES}").drop("r", "recalled")
     cands = best.join(state, "paper_id", "left").select(
         "paper_id", F.negative("priority").alias("down"), "sent_key", "size", "role", F.coalesce("n0", F.lit(0)).alias("n0"), F.coalesce("c0", F.lit(0)).alias("c0"), F.coalesce("roles0", F.lit("")).alias("roles0")
     )

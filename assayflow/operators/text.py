@@ -119,25 +119,40 @@ def keyword_score(c: Column) -> Column:
     return F.aggregate(found, F.lit(0.0), lambda s, k: s + weights[k])
 
 
-def section_key(c: Column) -> Column:
-    bank = {"abstract": "abstract", "introduction": "introduction", "experimental": "synthesis|experimental|method", "results": "activity|kinetics|application|characterization|result", "conclusion": "conclusion"}
-    return first_label(F.lower(F.coalesce(c, F.lit(""))), bank, "unknown")
-
-
 def sentence_score(text: Column, section: Column) -> Column:
-    """Keyword weights plus 3 for a number with unit and 2 for a range, times section and length factors."""
-    t = F.lower(text)
-    factor = F.create_map(*[F.lit(x) for kv in banks.SECTION_FACTOR.items() for x in kv])[section_key(section)]
-    base = keyword_score(text) + hit(t, "[0-9] *(mm|μm|nm|um|°c|min|h|%)").cast("int") * 3.0 + hit(t, "[0-9] *(-|–|to) *[0-9]").cast("int") * 2.0
-    length = F.when(F.length(text) < 15, 0.5).when(F.length(text) > 500, 0.8).otherwise(1.0)
+    """Keyword weights plus 3 for a number with unit and 2 for a range, times section and length factors.
+
+    A section without a factor of its own counts once, a missing one as ``unknown``.
+    """
+    factors = F.create_map(*[F.lit(x) for kv in banks.SECTION_FACTOR.items() for x in kv])
+    factor = F.coalesce(factors[F.coalesce(section, F.lit("unknown"))], F.lit(1.0))
+    base = keyword_score(text) + hit(text, banks.NUMBER_WITH_UNIT).cast("int") * banks.NUMBER_BONUS + hit(text, banks.RANGE_WITH_UNIT).cast("int") * banks.RANGE_BONUS
+    least, most = banks.LENGTHS
+    length = F.when(F.length(text) < least, 0.5).when(F.length(text) > most, 0.8).otherwise(1.0)
     return F.round(base * factor * length, 2)
 
 
-def sentence_priority(score: Column, tags: Column, section: Column) -> Column:
+def sentence_priority(score: Column, tag_text: Column, section: Column, text: Column, numeric: Column) -> Column:
+    """Score, tag and section bonuses, and what speaks for a sentence beside its tags."""
     bonus = F.create_map(*[F.lit(x) for kv in banks.TAG_BONUS.items() for x in kv])
-    by_section = F.create_map(*[F.lit(x) for kv in banks.SECTION_BONUS.items() for x in kv])[section_key(section)]
-    roles = F.filter(F.split(tags, r"\|"), lambda t: t != "")
-    return F.round(score + F.aggregate(roles, F.lit(0.0), lambda s, t: s + F.coalesce(bonus[t], F.lit(0.0))) + F.greatest(F.size(roles) - 1, F.lit(0)) * 0.8 + by_section, 2)
+    sections = F.create_map(*[F.lit(x) for kv in banks.SECTION_BONUS.items() for x in kv])
+    by_section = F.coalesce(sections[F.coalesce(section, F.lit("unknown"))], F.lit(0.0))
+    t = F.lower(text)
+    tag_list = F.filter(F.split(tag_text, r"\|"), lambda x: x != "")
+    has = lambda *names: F.arrays_overlap(tag_list, F.array(*[F.lit(n) for n in names]))
+    roles = F.size(F.filter(tag_list, lambda x: x.isin(banks.SELECTION_ROLES)))
+    out = score + F.aggregate(tag_list, F.lit(0.0), lambda s, x: s + F.coalesce(bonus[x], F.lit(0.0))) + F.greatest(roles - 1, F.lit(0)) * 0.8
+    extras = [
+        (F.coalesce(numeric, F.lit(False)) & has("kinetics", "comparison", "application", "activity", "assay"), 1.2),
+        (hit(t, banks.KINETICS_SIGNAL) & ~has("kinetics"), 1.5),
+        (hit(t, banks.MATERIAL_SIGNAL) & ~has("system"), 0.5),
+        (hit(t, "|".join(banks.ENZYME.values())) & ~has("activity"), 0.8),
+        (hit(t, "|".join(banks.APPLICATION_TYPE.values())) & ~has("application"), 0.8),
+        (hit(t, banks.NEGATIVE_ACTIVITY), 2.5),
+    ]
+    for cond, points in extras:
+        out = out + cond.cast("int") * points
+    return F.round(out + by_section, 2)
 
 
 def tags(c: Column) -> Column:

@@ -8,7 +8,7 @@ from ..functions import banks
 from ..functions.dual import extract, hit, quote, sql_extract, sql_hit, sql_labels
 from ..operators import relations as rel, text as tx
 from ..runtime import table
-from .texts import _DROP, _SCORE
+from .texts import _DROP
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -48,9 +48,8 @@ _add(
     "jon02_best_application_match",
     _best_match,
     "WITH a AS (SELECT record_id, paper_id, CAST(ord - 1 AS INTEGER) AS ord, a.target_analyte AS analyte, a.application_type AS kind FROM (SELECT record_id, paper_id, unnest(applications) AS a, generate_subscripts(applications, 1) AS ord FROM records) WHERE a IS NOT NULL), "
-    "g AS (SELECT paper_id AS p, analyte AS an, kind AS ki, min(record_id) AS lo FROM a GROUP BY 1, 2, 3), "
-    "j AS (SELECT record_id, ord, lo, coalesce(CAST(analyte = an AS INTEGER), 0) * 3 + coalesce(CAST(kind = ki AS INTEGER), 0) * 2 AS score FROM a JOIN g ON paper_id = p AND lo <> record_id) "
-    "SELECT record_id, ord, max(score) AS score, arg_min(lo, -score * 1000000000000 + lo) AS partner FROM j WHERE score >= 2 GROUP BY 1, 2",
+    "j AS (SELECT x.record_id, x.ord, y.record_id AS other, coalesce(CAST(x.analyte = y.analyte AS INTEGER), 0) * 3 + coalesce(CAST(x.kind = y.kind AS INTEGER), 0) * 2 AS score FROM a x JOIN a y ON x.paper_id = y.paper_id AND x.record_id <> y.record_id) "
+    "SELECT record_id, ord, max(score) AS score, arg_min(other, (-score, other)) AS partner FROM j WHERE score >= 2 GROUP BY 1, 2",
 )
 _FIG = "figs?[.] *(s?[0-9]+)"
 
@@ -95,10 +94,29 @@ def _body_context(s, d):
     return fig.join(chosen, ["paper_id", "key"]).groupBy("fig_key", "paper_id").agg(F.min_by("c", "fallback").alias("c")).select("fig_key", "paper_id", F.posexplode("c").alias("rank", "sent_key")).withColumn("rank", F.col("rank") + 1)
 
 
+# figure by figure: sentences that name it, else those of its page; two of kinetics, one of activity, the first two; equal texts once; three
+_BODY_SQL = f"""
+WITH fig AS (SELECT fig_key, paper_id, page, {sql_extract("lower(coalesce(caption_text, ''))", _CAPTION)} AS label FROM figures),
+sen AS (
+  SELECT paper_id, sent_key, page, text, {sql_hit("lower(text)", banks.KINETICS_SIGNAL)} AS kin, {sql_hit("lower(text)", banks.ACTIVITY_SIGNAL)} AS act,
+    list_distinct(flatten(list_transform(regexp_extract_all(lower(text), {quote(_LABELLED)}), lambda x: regexp_extract_all(x, 's?[0-9]+')))) AS labels
+  FROM sentences WHERE text IS NOT NULL AND source_kind IS DISTINCT FROM 'caption'),
+named AS (SELECT fig_key, f.paper_id, sent_key, text, kin, act FROM fig f JOIN (SELECT *, unnest(labels) AS label FROM sen) s ON f.paper_id = s.paper_id AND f.label = s.label),
+paged AS (SELECT fig_key, f.paper_id, sent_key, text, kin, act FROM fig f JOIN sen s ON f.paper_id = s.paper_id AND f.page = s.page WHERE NOT EXISTS (SELECT 1 FROM named n WHERE n.fig_key = f.fig_key)),
+related AS (
+  SELECT *, row_number() OVER (PARTITION BY fig_key ORDER BY sent_key) AS n_any, row_number() OVER (PARTITION BY fig_key, kin ORDER BY sent_key) AS n_kin, row_number() OVER (PARTITION BY fig_key, act ORDER BY sent_key) AS n_act
+  FROM (SELECT * FROM named UNION ALL SELECT * FROM paged)),
+picked AS (
+  SELECT fig_key, paper_id, sent_key, text, n_kin AS ord FROM related WHERE kin AND n_kin <= 2 UNION ALL
+  SELECT fig_key, paper_id, sent_key, text, 2 + n_act FROM related WHERE act AND n_act = 1 UNION ALL
+  SELECT fig_key, paper_id, sent_key, text, 3 + n_any FROM related WHERE n_any <= 2),
+once AS (SELECT fig_key, paper_id, text, arg_min(sent_key, ord) AS sent_key, min(ord) AS ord FROM picked GROUP BY 1, 2, 3)
+SELECT fig_key, paper_id, CAST(rank AS INTEGER) AS rank, sent_key FROM (SELECT *, row_number() OVER (PARTITION BY fig_key ORDER BY ord) AS rank FROM once) WHERE rank <= 3
+"""
 _add(
     "jon08_body_context_top3",
     _body_context,
-    f"SELECT paper_id, sent_key, CAST(rank AS INTEGER) AS rank FROM (SELECT paper_id, sent_key, row_number() OVER (PARTITION BY paper_id ORDER BY {_SCORE} DESC, sent_key) AS rank FROM sentences WHERE text IS NOT NULL) WHERE rank <= 3",
+    _BODY_SQL,
 )
 _add(
     "jon09_name_in_title",
@@ -116,7 +134,9 @@ _PAIRS = ", ".join(f"named_struct('a', '{a}', 'b', '{b}', 'x', _evidence_{a}, 'y
 _add(
     "jon13_field_pairs",
     lambda s, d: table(s, d, "kinetics").selectExpr("kin_id", f"inline(array({_PAIRS}))").where("x IS NOT NULL AND y IS NOT NULL").groupBy("a", "b").agg(F.count("*").alias("n"), F.sum(F.when(F.abs(F.length("x") - F.length("y")) > 20, 1).otherwise(0)).alias("n_apart")),
-    "SELECT a, b, count(*) AS n, CAST(sum(CASE WHEN abs(length(x) - length(y)) > 20 THEN 1 ELSE 0 END) AS BIGINT) AS n_apart FROM (SELECT 'Km' AS a, 'Vmax' AS b, _evidence_Km AS x, _evidence_Vmax AS y FROM kinetics UNION ALL SELECT 'Km', 'kcat', _evidence_Km, _evidence_kcat FROM kinetics UNION ALL SELECT 'Vmax', 'kcat', _evidence_Vmax, _evidence_kcat FROM kinetics) WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2",
+    "SELECT a, b, count(*) AS n, CAST(sum(CASE WHEN abs(length(x) - length(y)) > 20 THEN 1 ELSE 0 END) AS BIGINT) AS n_apart FROM ("
+    + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, _evidence_{a} AS x, _evidence_{b} AS y FROM kinetics" for a, b in (("Km", "Vmax"), ("Km", "kcat"), ("Km", "kcat_Km"), ("Vmax", "kcat"), ("Vmax", "kcat_Km"), ("kcat", "kcat_Km")))
+    + ") WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2",
 )
 _add(
     "jon14_supplement_to_main",

@@ -155,12 +155,10 @@ _add(
     lambda s, d: _sentences(s, d).select("sent_key", tx.tags(F.col("text")).alias("tags")).select("sent_key", "tags", tx.primary_role(F.col("tags")).alias("role")),
     f"SELECT sent_key, tags, {_ROLE} AS role FROM (SELECT sent_key, {_TAGS} AS tags FROM sentences)",
 )
-_SECBANK = {"abstract": "abstract", "introduction": "introduction", "experimental": "synthesis|experimental|method", "results": "activity|kinetics|application|characterization|result", "conclusion": "conclusion"}
-_SEC = sql_first_label("lower(coalesce(section, ''))", _SECBANK, "unknown")
 _MAP = lambda m: "MAP {" + ", ".join(f"{quote(k)}: {v!r}::DOUBLE" for k, v in m.items()) + "}"
 _KW = f"coalesce(list_sum(list_transform(regexp_extract_all(lower(text), {quote('(' + '|'.join(banks.KEYWORD_WEIGHT) + ')')}, 1), lambda k: ({_MAP(banks.KEYWORD_WEIGHT)})[k])), 0.0)"
 _SCORE = (
-    f"round(({_KW} + CAST({sql_hit('lower(text)', '[0-9] *(mm|μm|nm|um|°c|min|h|%)')} AS INTEGER) * 3.0 + CAST({sql_hit('lower(text)', '[0-9] *(-|–|to) *[0-9]')} AS INTEGER) * 2.0) * ({_MAP(banks.SECTION_FACTOR)})[{_SEC}]"
+    f"round(({_KW} + CAST({sql_hit('text', banks.NUMBER_WITH_UNIT)} AS INTEGER) * 3.0 + CAST({sql_hit('text', banks.RANGE_WITH_UNIT)} AS INTEGER) * 2.0) * coalesce(({_MAP(banks.SECTION_FACTOR)})[coalesce(section, 'unknown')], 1.0)"
     " * CASE WHEN length(text) < 15 THEN 0.5 WHEN length(text) > 500 THEN 0.8 ELSE 1.0 END, 2)"
 )
 _add(
@@ -168,11 +166,22 @@ _add(
     lambda s, d: _sentences(s, d).where("text IS NOT NULL").select("sent_key", tx.sentence_score(F.col("text"), F.col("section")).alias("kw_score")),
     f"SELECT sent_key, CAST({_SCORE} AS DOUBLE) AS kw_score FROM sentences WHERE text IS NOT NULL",
 )
-_PRIO = f"round(kw_score + coalesce(list_sum(list_transform(list_filter(string_split(tags, '|'), lambda t: t <> ''), lambda t: coalesce(({_MAP(banks.TAG_BONUS)})[t], 0.0))), 0.0) + greatest(len(list_filter(string_split(tags, '|'), lambda t: t <> '')) - 1, 0) * 0.8 + ({_MAP(banks.SECTION_BONUS)})[{_SEC}], 2)"
+_HAS = lambda *names: "list_has_any(tags, [" + ", ".join(quote(n) for n in names) + "])"
+_PRIO = (
+    f"round(kw_score + coalesce(list_sum(list_transform(tags, lambda t: coalesce(({_MAP(banks.TAG_BONUS)})[t], 0.0))), 0.0) + greatest(len(list_intersect(tags, {banks.SELECTION_ROLES})) - 1, 0) * 0.8"
+    f" + CASE WHEN contains_numeric AND {_HAS('kinetics', 'comparison', 'application', 'activity', 'assay')} THEN 1.2 ELSE 0 END"
+    + "".join(
+        f" + CASE WHEN {sql_hit('lower(text)', p)} AND NOT {_HAS(t)} THEN {n} ELSE 0 END"
+        for p, t, n in ((banks.KINETICS_SIGNAL, "kinetics", 1.5), (banks.MATERIAL_SIGNAL, "system", 0.5), ("|".join(banks.ENZYME.values()), "activity", 0.8), ("|".join(banks.APPLICATION_TYPE.values()), "application", 0.8))
+    )
+    + f" + CASE WHEN {sql_hit('lower(text)', banks.NEGATIVE_ACTIVITY)} THEN 2.5 ELSE 0 END + coalesce(({_MAP(banks.SECTION_BONUS)})[coalesce(section, 'unknown')], 0.0), 2)"
+)
 _add(
     "flt18_sentence_priority",
-    lambda s, d: _sentences(s, d).where("text IS NOT NULL").select("sent_key", "section", tx.sentence_score(F.col("text"), F.col("section")).alias("s"), tx.tags(F.col("text")).alias("t")).select("sent_key", tx.sentence_priority(F.col("s"), F.col("t"), F.col("section")).alias("priority")),
-    f"SELECT sent_key, CAST({_PRIO} AS DOUBLE) AS priority FROM (SELECT sent_key, section, {_SCORE} AS kw_score, {_TAGS} AS tags FROM sentences WHERE text IS NOT NULL)",
+    lambda s, d: _sentences(s, d).where("text IS NOT NULL")
+    .select("sent_key", "section", "text", "contains_numeric", tx.sentence_score(F.col("text"), F.col("section")).alias("s"), tx.tags(F.col("text")).alias("t"))
+    .select("sent_key", tx.sentence_priority(F.col("s"), F.col("t"), F.col("section"), F.col("text"), F.col("contains_numeric")).alias("priority")),
+    f"SELECT sent_key, CAST({_PRIO} AS DOUBLE) AS priority FROM (SELECT sent_key, section, text, contains_numeric, {_SCORE} AS kw_score, list_filter(string_split({_TAGS}, '|'), lambda t: t <> '') AS tags FROM sentences WHERE text IS NOT NULL)",
 )
 _SUBS = "(tmb|abts|opd|h2o2|guaiacol|catechol|pyrogallol)"
 _ANA = "(glucose|cysteine|lactate|dopamine|glutathione|uric acid|ascorbic acid|mercury ions)"

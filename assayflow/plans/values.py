@@ -201,7 +201,9 @@ _add(
     .unionByName(table(s, d, "figures").select("paper_id", F.lit("caption").alias("source"), F.explode(extract_all(F.col("caption_text"), _NAME)).alias("name")))
     .unionByName(table(s, d, "sentences").select("paper_id", F.lit("text").alias("source"), F.explode(extract_all(F.col("text"), _NAME)).alias("name")))
     .groupBy("paper_id", "name").agg(F.array_join(F.array_sort(F.collect_set("source")), "|").alias("sources"), F.count("*").alias("n_evidence")),
-    f"SELECT paper_id, name, array_to_string(list_sort(list(DISTINCT source)), '|') AS sources, count(*) AS n_evidence FROM (SELECT paper_id, 'title' AS source, {sql_extract('title', _NAME)} AS name FROM papers UNION ALL SELECT paper_id, 'caption', {sql_extract('caption_text', _NAME)} FROM figures UNION ALL SELECT paper_id, 'text', {sql_extract('text', _NAME)} FROM sentences) WHERE name IS NOT NULL GROUP BY 1, 2",
+    "SELECT paper_id, name, array_to_string(list_sort(list(DISTINCT source)), '|') AS sources, count(*) AS n_evidence FROM ("
+    + " UNION ALL ".join(f"SELECT paper_id, '{n}' AS source, unnest(list_distinct(regexp_extract_all({c}, {quote(_NAME)}, 1))) AS name FROM {t}" for n, c, t in (("title", "title", "papers"), ("caption", "caption_text", "figures"), ("text", "text", "sentences")))
+    + ") GROUP BY 1, 2",
 )
 _add(
     "ext28_paper_metadata",
