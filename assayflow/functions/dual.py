@@ -6,6 +6,8 @@ boundary, lower-case text instead of case-insensitive matching.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 B = "(?:^|[^a-z0-9])"
@@ -25,8 +27,14 @@ def hit(c: Column, pattern: str) -> Column:
     return F.coalesce(c.rlike(pattern), F.lit(False))
 
 
+def sql_pattern(pattern: str) -> str:
+    """A pattern for RE2, whose word boundary knows ASCII letters only: letters of any script bound a word."""
+    pattern = re.sub(r"\\b(?=$|\||\)|\.\*)", r"(?:$|[^\\pL\\pN_])", pattern)
+    return pattern.replace("\\b", "(?:^|[^\\pL\\pN_])")
+
+
 def sql_hit(expr: str, pattern: str) -> str:
-    return f"coalesce(regexp_matches({expr}, {quote(pattern)}), false)"
+    return f"coalesce(regexp_matches({expr}, {quote(sql_pattern(pattern))}), false)"
 
 
 def replace_all(c: Column, steps: list[tuple[str, str]]) -> Column:

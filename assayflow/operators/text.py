@@ -161,7 +161,7 @@ def tags(c: Column) -> Column:
 
 def primary_role(tag_text: Column) -> Column:
     padded = F.concat(F.lit("|"), tag_text, F.lit("|"))
-    return F.coalesce(*[F.when(padded.contains(f"|{r}|"), F.lit(r)) for r in banks.ROLE_ORDER])
+    return F.coalesce(*[F.when(padded.contains(f"|{r}|"), F.lit(r)) for r in banks.PRIMARY_ROLE])
 
 
 def drop_reason(c: Column) -> Column:

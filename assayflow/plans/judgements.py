@@ -136,10 +136,13 @@ _add(
 )
 
 
+_SAID = r"(?i)\bKm\b|\bVmax\b"
+
+
 def _checkpoint(s, d):
     """Per record: the next step and the warnings, from the record and whether its paper speaks of kinetics and applications."""
     t = F.col("text")
-    said = table(s, d, "sentences").where("text IS NOT NULL").groupBy("paper_id").agg(F.max(t.rlike(r"(?i)\bKm\b|\bVmax\b")).alias("kin"), F.max(hit(F.lower("text"), banks.APPLICATION_SIGNAL)).alias("app"))
+    said = table(s, d, "sentences").where("text IS NOT NULL").groupBy("paper_id").agg(F.max(t.rlike(_SAID)).alias("kin"), F.max(hit(F.lower("text"), banks.APPLICATION_SIGNAL)).alias("app"))
     r = table(s, d, "records").join(said, "paper_id", "left")
     k = F.col("main_activity.kinetics")
     name = F.coalesce(F.col("selected_nanozyme.name"), F.lit(""))
@@ -160,7 +163,7 @@ _add(
     "SELECT record_id, CASE WHEN nameless THEN 'trigger_re_extraction' WHEN w <> '' THEN 'continue_with_warnings' ELSE 'continue' END AS action, CASE WHEN nameless THEN '' ELSE w END AS warnings FROM (SELECT record_id, coalesce(selected_nanozyme.name, '') = '' AS nameless, "
     "concat_ws('|', CASE WHEN coalesce(main_activity.enzyme_like_type, '') = '' THEN 'missing_enzyme_type' END, CASE WHEN main_activity.kinetics.Km IS NULL AND main_activity.kinetics.Vmax IS NULL AND coalesce(kin, false) THEN 'kinetics_mentioned_but_not_extracted' END, "
     "CASE WHEN coalesce(len(applications), 0) = 0 AND coalesce(app, false) THEN 'application_text_but_no_applications' END) AS w "
-    rf"FROM records LEFT JOIN (SELECT paper_id, bool_or(regexp_matches(text, '(?i)\bKm\b|\bVmax\b')) AS kin, bool_or({sql_hit('lower(text)', banks.APPLICATION_SIGNAL)}) AS app FROM sentences WHERE text IS NOT NULL GROUP BY 1) USING (paper_id))",
+    rf"FROM records LEFT JOIN (SELECT paper_id, bool_or({sql_hit('text', _SAID)}) AS kin, bool_or({sql_hit('lower(text)', banks.APPLICATION_SIGNAL)}) AS app FROM sentences WHERE text IS NOT NULL GROUP BY 1) USING (paper_id))",
 )
 
 # ---------------------------------------------------------------- attribution

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..functions import fixed
-from ..functions.dual import hit, quote, sql_hit
+from ..functions.dual import hit, quote, sql_hit, sql_pattern
 from ..runtime import table
 
 QUERIES: dict = {}
@@ -381,7 +381,7 @@ def _physical(s, d):
 
 
 def _sql_physical(n: str) -> str:
-    arms = " ".join(f"WHEN {sql_hit('text', p)} THEN regexp_extract(text, {quote(p)}, 1) || ' ' || regexp_extract(text, {quote(p)}, 2)" for p in fixed.PHYSICAL[n])
+    arms = " ".join(f"WHEN {sql_hit('text', p)} THEN regexp_extract(text, {quote(sql_pattern(p))}, 1) || ' ' || regexp_extract(text, {quote(sql_pattern(p))}, 2)" for p in fixed.PHYSICAL[n])
     return f"(SELECT paper_id, arg_min(v, sent_key) AS {n} FROM (SELECT paper_id, sent_key, CASE {arms} END AS v FROM sentences) WHERE v IS NOT NULL GROUP BY 1)"
 
 

@@ -149,7 +149,7 @@ _add(
     f"SELECT fig_key, {sql_first_label('lower(caption_text)', banks.CAPTION_TYPE, 'other')} AS caption_type FROM figures",
 )
 _TAGS = sql_labels("lower(text)", banks.VALUE_TAGS)
-_ROLE = "coalesce(" + ", ".join(f"CASE WHEN contains('|' || tags || '|', '|{r}|') THEN '{r}' END" for r in banks.ROLE_ORDER) + ")"
+_ROLE = "coalesce(" + ", ".join(f"CASE WHEN contains('|' || tags || '|', '|{r}|') THEN '{r}' END" for r in banks.PRIMARY_ROLE) + ")"
 _add(
     "flt13_value_tags_and_role",
     lambda s, d: _sentences(s, d).select("sent_key", tx.tags(F.col("text")).alias("tags")).select("sent_key", "tags", tx.primary_role(F.col("tags")).alias("role")),
