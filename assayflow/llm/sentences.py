@@ -78,6 +78,8 @@ def _same_script(a: str, b: str) -> bool:
 
 
 _ABBREVIATIONS = Trie({w: "inner" for w in _NEVER_LAST} | {w: "number" for w in _BEFORE_NUMBER} | {w: "may_end" for w in _MAY_BE_LAST})
+#: The longest abbreviation and the sign before it.
+_ABBREVIATION_REACH = max(map(len, [*_NEVER_LAST, *_BEFORE_NUMBER, *_MAY_BE_LAST])) + 1
 _CLOSER = {"“": "”", "«": "»", "「": "」", "『": "』", "(": ")", "[": "]", "（": "）", "{": "}", "„": "“", "‹": "›", "【": "】"}
 _CLOSERS = set(_CLOSER.values()) | {'"'}
 _EVENT = re.compile(r"[.!?。！？।॥؟…]+|[\"“”„«»「」『』()\[\]（）{}‹›【】]|\n\s*(?:[•‣◦▪●○■□–—*-]\s)?")
@@ -105,10 +107,23 @@ def boundaries(text: str | None) -> list[int]:
     return _walk(s)
 
 
+class _Last(dict):
+    """The last place of a sign in a text, looked for once."""
+
+    def __init__(self, s: str):
+        self.s = s
+
+    def __missing__(self, ch: str) -> int:
+        self[ch] = at = self.s.rfind(ch)
+        return at
+
+
 def _walk(s: str) -> list[int]:
     out: list[int] = []
     stack: list[str] = []
+    last = _Last(s)
     n, at, in_list = len(s), 0, False
+    first = n - len(s.lstrip())
     while True:
         m = _EVENT.search(s, at)
         if not m:
@@ -120,13 +135,13 @@ def _walk(s: str) -> list[int]:
             blank = tok.count("\n") > 1
             if bullet or in_list or blank:
                 p = i + len(tok) - len(tok.lstrip())
-                if p < n and s[:i].strip():
+                if p < n and first < i:
                     stack.clear()
                     _emit(out, p)
                 in_list = bullet
             continue
         if ch in _CLOSER or ch in _CLOSERS:
-            _turn(stack, s, i, ch)
+            _turn(stack, last, i, ch)
             continue
         # a terminator: take the closers that follow it
         j = at
@@ -165,14 +180,14 @@ def _emit(out: list[int], p: int) -> None:
         out.append(p)
 
 
-def _turn(stack: list[str], s: str, i: int, ch: str) -> None:
+def _turn(stack: list[str], last: _Last, i: int, ch: str) -> None:
     if stack and stack[-1] == ch:
         stack.pop()
     elif ch == '"':
-        if s.find('"', i + 1) >= 0:
+        if last['"'] > i:
             stack.append('"')
     elif ch in _CLOSER:
-        if s.find(_CLOSER[ch], i + 1) >= 0:
+        if last[_CLOSER[ch]] > i:
             stack.append(_CLOSER[ch])
     elif ch in stack:  # an inner opener was left open
         while stack.pop() != ch:
@@ -198,7 +213,8 @@ def _ends(s: str, tok: str, i: int, p: int, gap: bool, closed: bool) -> bool:
             return not c.islower() or bool(_SPECIAL_START.match(s, p))
         return gap or upper or letterless
     # a single full stop
-    label, start = _ABBREVIATIONS.match(s.lower() if len(s) < 400 else s[max(0, i - 24) : i].lower(), i if len(s) < 400 else min(i, 24))
+    before = s[max(0, i - _ABBREVIATION_REACH) : i].lower()
+    label, start = _ABBREVIATIONS.match(before, len(before))
     m = _WORD_BEFORE.search(s, max(0, i - 40), i)
     word = m.group(2) if m else ""
     if closed:

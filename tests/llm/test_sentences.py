@@ -58,3 +58,16 @@ def test_operator(spark):
     units = sorted((r.k, r.ord, r.start, r.sentence) for r in sn.units(df, "text", ["k"]).collect())
     assert units == [(1, 0, 0, "Ab cd."), (1, 0, 0, "Ab cd."), (1, 1, 7, "Ef gh."), (1, 1, 7, "Ef gh."), (4, 0, 0, "One only")]
     assert sn.starts(df.limit(0), F.col("text")).count() == 0
+
+
+def test_many_openers_without_a_closer():
+    import time
+
+    t = time.perf_counter()
+    assert len(sn.boundaries("( “ [ Abc def. " * 20_000)) == 19_999
+    assert len(sn.boundaries("\n x" * 50_000)) == 0
+    assert time.perf_counter() - t < 20
+
+
+def test_letters_whose_lower_case_is_longer():
+    assert sn.boundaries("İİİİ et al. were first. Next came İ.") == [24]
