@@ -18,7 +18,9 @@ sources, checked against ``MAX_LEAVES``) are budgeted on the driver; documents n
 
 Defined results: documents without a source in the mix, and those of no tokens (null,
 empty), are not selected; null language or kind is a leaf of its own; an empty corpus gives
-an empty selection and a report with zeros; repeated rows are documents of their own.
+an empty selection and a report with zeros; repeated rows are documents of their own. A
+source listed several times in a mix has the sum of its shares and the most of its repeats;
+where rows of a mix differ in tokenizer or total, the first name and the largest total hold.
 """
 
 from __future__ import annotations
@@ -151,10 +153,14 @@ def plan(sized: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
         mixes.setdefault(r["mix_name"], []).append(r)
     leaf_rows, source_rows = [], []
     for mix, rows in mixes.items():
-        tok = rows[0]["tokenizer"]
+        tok = min(r["tokenizer"] for r in rows)
         mine = [s for s in stats if s["tokenizer"] == tok]
-        total = rows[0]["total_ratio"] * sum(s["size"] for s in mine)
-        by_source = {r["source"]: r for r in rows}
+        total = max(r["total_ratio"] for r in rows) * sum(s["size"] for s in mine)
+        by_source: dict[str, dict] = {}
+        for r in rows:
+            known = by_source.setdefault(r["source"], {"target_share": 0.0, "max_repeats": 0})
+            known["target_share"] += r["target_share"]
+            known["max_repeats"] = max(known["max_repeats"], r["max_repeats"])
         size_of: dict = {}
         for s in mine:
             if s["source"] in by_source:

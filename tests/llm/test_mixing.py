@@ -48,3 +48,11 @@ def test_shares_and_repeats(spark):
     assert sorted(again) == sorted(got)
     empty, rep = mx.mix(docs.limit(0), targets)
     assert empty.count() == 0 and {r.tokens for r in rep.collect()} == {0}
+
+
+@pytest.mark.skipif(not os.path.exists(os.path.join(encoding.TOKENIZER_DIR, "byte_bpe_50k.json")), reason="no tokenizer files")
+def test_a_source_listed_twice(spark):
+    docs = spark.createDataFrame([(i, "word " * 20, "en", "ab"[i % 2], "article", 9) for i in range(100)], SCHEMA)
+    once = spark.createDataFrame([("m", "a", 0.6, 2, 0.5, "byte_bpe_50k"), ("m", "b", 0.4, 1, 0.5, "byte_bpe_50k")], TARGETS)
+    twice = spark.createDataFrame([("m", "a", 0.2, 2, 0.5, "byte_bpe_50k"), ("m", "b", 0.4, 1, 0.1, "word_bpe_49k"), ("m", "a", 0.4, 1, 0.2, "byte_bpe_50k")], TARGETS)
+    assert sorted(mx.mix(docs, twice)[0].collect()) == sorted(mx.mix(docs, once)[0].collect())
