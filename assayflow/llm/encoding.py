@@ -1,9 +1,9 @@
 """Problem 8: encoding of the whole corpus with a public byte-level BPE tokenizer.
 
 Method: corpus-level merge replay. The texts are pre-split into words; the distinct words
-of the corpus are encoded once. Per partition of distinct words an inverted index from
-token pair to positions drives the merges in rank order: all places of a pair are merged
-together and only the touched neighbours enter the index again. A pair that a merge creates
+of the corpus are encoded once. Per task, over all of its distinct words (in turns of
+``REPLAY_WORDS``, which bounds the memory), an inverted index from token pair to positions
+drives the merges in rank order: all places of a pair are merged together and only the touched neighbours enter the index again. A pair that a merge creates
 always has a later rank than that merge, so one pass over the ranks is exact.
 
 The ids go back to the texts by chunks: documents are hashed into chunks of about
@@ -35,6 +35,7 @@ from ..runtime import materialise
 
 TOKENIZER_DIR = os.environ.get("ASSAYFLOW_TOKENIZERS", "/opt/tokenizers")
 CHUNK_CHARS = 2_000_000
+REPLAY_WORDS = 500_000
 #: The published split of byte-level BPE; white space is spelled out because libraries differ on control characters.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
@@ -143,11 +144,21 @@ def encode(documents: DataFrame, tokenizer: str = "byte_bpe_50k", directory: str
     words = materialise(chunked.groupBy("chunk").applyInPandas(list_words, "chunk int, word string"), "encoding-words")
 
     def encode_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        merges = None
-        for b in batches:
+        merges, held = None, []
+
+        def turn() -> pd.DataFrame:
+            nonlocal merges
             merges = merges or Merges(raw.value)
-            w = list(b["word"])
-            yield pd.DataFrame({"word": w, "ids": replay(w, merges)})
+            out = pd.DataFrame({"word": held, "ids": replay(held, merges)})
+            held.clear()
+            return out
+
+        for b in batches:
+            held += list(b["word"])
+            if len(held) >= REPLAY_WORDS:
+                yield turn()
+        if held:
+            yield turn()
 
     distinct = words.select("word").distinct()
     table = distinct.mapInPandas(encode_words, "word string, ids array<int>")
