@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import banks
 from ..functions.dual import hit
+from . import ordered as od
 
 
 def first_valid(kinetics: DataFrame, parameter: str, unit: Column | None = None) -> DataFrame:
@@ -33,13 +34,12 @@ def paragraph_runs(blocks: DataFrame) -> DataFrame:
 
     A run goes on while page and section stay and the left edges differ by less than 40.
     """
-    order = W.partitionBy("paper_id").orderBy("block_key")
     left = F.get("bbox", F.lit(0))
     para = blocks.where("kind = 'paragraph' AND bbox IS NOT NULL").withColumn("left", left)
-    same = (
-        (F.col("page") == F.lag("page").over(order)) & F.coalesce(F.col("section") == F.lag("section").over(order), F.lit(False)) & (F.abs(F.col("left") - F.lag("left").over(order)) < 40)
-    )
-    run = para.withColumn("new", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).withColumn("run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    para = od.with_neighbours(para, "paper_id", "block_key", F.struct("page", "section", "left"))
+    prev = F.col("prev")
+    same = (F.col("page") == prev["page"]) & F.coalesce(F.col("section") == prev["section"], F.lit(False)) & (F.abs(F.col("left") - prev["left"]) < 40)
+    run = od.running_count(para.drop("next"), "paper_id", "block_key", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).withColumnRenamed("total", "run")
     return run.groupBy("paper_id", "run").agg(
         F.count("*").alias("n_blocks"), F.min("block_key").alias("first_block"), F.min("left").alias("x0"), F.max(F.get("bbox", F.lit(2))).alias("x1"), F.min(F.get("bbox", F.lit(1))).alias("y0"), F.max(F.get("bbox", F.lit(3))).alias("y1")
     )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window as W, functions as F
+from pyspark.sql import Column, functions as F
 
 from ..functions import banks, fixed
 from ..functions.dual import hit, quote, sql_hit
-from ..operators import nested
+from ..operators import nested, ordered as od, text as tx
 from ..runtime import table
 from .rules import any_of, enzyme_conflict_key, sql_any
 
@@ -393,17 +393,14 @@ def context_window(s, d):
 
     Neighbours are found by position within the paper; a dropped sentence gives no context.
     """
-    from ..operators import text as tx
-
     t = F.col("text")
     rows = table(s, d, "sentences").where("text IS NOT NULL").select(
         "paper_id", "sent_key", "block_id", hit(F.lower("text"), "|".join(banks.HARD_RECALL.values())).alias("anchor"), t.rlike(_NEAR).alias("wide"), F.coalesce(tx.drop_reason(t), F.lit("")).isin(_DROPPED).alias("dropped")
     )
-    block = W.partitionBy("paper_id", "block_id")
-    order = W.partitionBy("paper_id").orderBy("sent_key")
-    rows = rows.withColumn("n_block", F.count("*").over(block)).withColumn("block_anchor", F.max("anchor").over(block))
-    near = F.coalesce(F.lag(F.col("anchor") & F.col("wide")).over(order), F.lit(False)) | F.coalesce(F.lead(F.col("anchor") & F.col("wide")).over(order), F.lit(False))
-    by_block = F.col("block_id").isNotNull() & F.col("block_anchor") & F.col("n_block").between(2, 8)
+    blocks = rows.where("block_id IS NOT NULL").groupBy("paper_id", "block_id").agg(F.count("*").alias("n_block"), F.max("anchor").alias("block_anchor")).where("block_anchor AND n_block BETWEEN 2 AND 8")
+    rows = od.with_neighbours(rows, "paper_id", "sent_key", F.col("anchor") & F.col("wide")).join(blocks, ["paper_id", "block_id"], "left")
+    near = F.coalesce("prev", F.lit(False)) | F.coalesce("next", F.lit(False))
+    by_block = F.col("block_anchor").isNotNull()
     why = F.when(F.col("anchor"), "anchor").when(~F.col("dropped") & by_block, "block").when(~F.col("dropped") & near, "neighbour")
     return rows.select("paper_id", "sent_key", why.alias("why")).where("why IS NOT NULL")
 

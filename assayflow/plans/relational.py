@@ -6,7 +6,7 @@ from pyspark.sql import Window as W, functions as F
 
 from ..functions import banks
 from ..functions.dual import extract, hit, quote, sql_extract, sql_hit, sql_labels
-from ..operators import relations as rel, text as tx
+from ..operators import ordered as od, relations as rel, text as tx
 from ..runtime import table
 from .texts import _DROP
 
@@ -265,7 +265,7 @@ def _buckets(s, d):
 
 
 _add("srt09_evidence_buckets", _buckets, "SELECT paper_id, bucket, sent_key, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY paper_id, bucket ORDER BY sent_key) AS rank FROM (SELECT paper_id, bucket, t, min(sent_key) AS sent_key FROM (" + " UNION ALL ".join(f"SELECT paper_id, sent_key, lower(trim(text, ' ')) AS t, '{n}' AS bucket FROM sentences WHERE text IS NOT NULL AND {sql_hit('lower(text)', p)}" for n, p in _BUCKETS.items()) + ") GROUP BY 1, 2, 3)) WHERE rank <= 20")
-_add("srt11_reading_order_ids", lambda s, d: table(s, d, "blocks").select("paper_id", "block_key", F.format_string("S%04d", F.row_number().over(W.partitionBy("paper_id").orderBy("page", "block_key"))).alias("reading_id")), "SELECT paper_id, block_key, printf('S%04d', row_number() OVER (PARTITION BY paper_id ORDER BY page NULLS FIRST, block_key)) AS reading_id FROM blocks")
+_add("srt11_reading_order_ids", lambda s, d: od.running_count(table(s, d, "blocks").select("paper_id", "page", "block_key"), "paper_id", "block_key", F.lit(1), lead=("page",)).select("paper_id", "block_key", F.format_string("S%04d", F.col("total")).alias("reading_id")), "SELECT paper_id, block_key, printf('S%04d', row_number() OVER (PARTITION BY paper_id ORDER BY page NULLS FIRST, block_key)) AS reading_id FROM blocks")
 _add("srt12_title_choice", lambda s, d: table(s, d, "blocks").where("kind IN ('metadata', 'heading') AND text IS NOT NULL").groupBy("paper_id").agg(F.max_by("text", F.struct(F.when(F.length("text").between(20, 200), 2).otherwise(0) + F.when(F.col("kind") == "metadata", 1).otherwise(0), -F.col("block_key"))).alias("title_guess")), "SELECT paper_id, arg_max(text, (CASE WHEN length(text) BETWEEN 20 AND 200 THEN 2 ELSE 0 END + CASE WHEN kind = 'metadata' THEN 1 ELSE 0 END) * 1000000000000 - block_key) AS title_guess FROM blocks WHERE kind IN ('metadata', 'heading') AND text IS NOT NULL GROUP BY 1")
 
 # ---------------------------------------------------------------- sets and ordered operators
@@ -286,13 +286,13 @@ _WSQL = "(PARTITION BY paper_id ORDER BY sent_key ROWS BETWEEN 1 PRECEDING AND 1
 
 def _context(s, d):
     rows = table(s, d, "sentences").select("paper_id", "sent_key", hit(F.lower("text"), "|".join(banks.HARD_RECALL.values())).alias("anchor"))
-    w = W.partitionBy("paper_id").orderBy("sent_key").rowsBetween(-1, 1)
-    return rows.withColumn("kept", F.max("anchor").over(w))
+    kept = F.col("anchor") | F.coalesce("prev", F.lit(False)) | F.coalesce("next", F.lit(False))
+    return od.with_neighbours(rows, "paper_id", "sent_key", F.col("anchor")).select("paper_id", "sent_key", "anchor", kept.alias("kept"))
 
 
 _add("win01_context_expansion", _context, f"SELECT paper_id, sent_key, anchor, max(anchor) OVER {_WSQL} AS kept FROM (SELECT paper_id, sent_key, {sql_hit('lower(text)', '|'.join(banks.HARD_RECALL.values()))} AS anchor FROM sentences)")
-_add("win02_section_carry", lambda s, d: table(s, d, "blocks").select("paper_id", "block_key", F.last("section", ignorenulls=True).over(W.partitionBy("paper_id").orderBy("block_key").rowsBetween(W.unboundedPreceding, 0)).alias("carried")), "SELECT paper_id, block_key, last_value(section IGNORE NULLS) OVER (PARTITION BY paper_id ORDER BY block_key ROWS UNBOUNDED PRECEDING) AS carried FROM blocks")
-_add("win03_gate_after_marker", lambda s, d: table(s, d, "blocks").select("paper_id", "block_key", F.max(F.coalesce(F.lower("text").rlike("^(conclusions?|references?)"), F.lit(False))).over(W.partitionBy("paper_id").orderBy("block_key").rowsBetween(W.unboundedPreceding, 0)).alias("after")), "SELECT paper_id, block_key, max(coalesce(regexp_matches(lower(text), '^(conclusions?|references?)'), false)) OVER (PARTITION BY paper_id ORDER BY block_key ROWS UNBOUNDED PRECEDING) AS after FROM blocks")
+_add("win02_section_carry", lambda s, d: od.carried(table(s, d, "blocks").select("paper_id", "block_key", "section"), "paper_id", "block_key", F.col("section")).select("paper_id", "block_key", "carried"), "SELECT paper_id, block_key, last_value(section IGNORE NULLS) OVER (PARTITION BY paper_id ORDER BY block_key ROWS UNBOUNDED PRECEDING) AS carried FROM blocks")
+_add("win03_gate_after_marker", lambda s, d: od.after_first(table(s, d, "blocks").select("paper_id", "block_key", "text"), "paper_id", "block_key", F.lower("text").rlike("^(conclusions?|references?)")).select("paper_id", "block_key", "after"), "SELECT paper_id, block_key, max(coalesce(regexp_matches(lower(text), '^(conclusions?|references?)'), false)) OVER (PARTITION BY paper_id ORDER BY block_key ROWS UNBOUNDED PRECEDING) AS after FROM blocks")
 _add("lay03_paragraph_runs", lambda s, d: rel.paragraph_runs(table(s, d, "blocks")), "WITH p AS (SELECT *, bbox[1] AS l FROM blocks WHERE kind = 'paragraph' AND bbox IS NOT NULL), q AS (SELECT *, CASE WHEN coalesce(page = lag(page) OVER w AND coalesce(section = lag(section) OVER w, false) AND abs(l - lag(l) OVER w) < 40, false) THEN 0 ELSE 1 END AS nw FROM p WINDOW w AS (PARTITION BY paper_id ORDER BY block_key)), r AS (SELECT *, CAST(sum(nw) OVER (PARTITION BY paper_id ORDER BY block_key ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM q) SELECT paper_id, run, count(*) AS n_blocks, min(block_key) AS first_block, min(l) AS x0, max(bbox[3]) AS x1, min(bbox[2]) AS y0, max(bbox[4]) AS y1 FROM r GROUP BY 1, 2")
 _HEADSEC = {"abstract": "^abstract", "introduction": "^introduction", "experimental": "^(materials|methods|experimental|preparation)", "results": "^(results|characterization|steady|detection)", "conclusion": "^conclusion"}
 _add("lay08_heading_sections", lambda s, d: table(s, d, "blocks").where("kind = 'heading'").select("block_key", F.coalesce(*[F.when(hit(F.lower("text"), p), F.lit(n)) for n, p in _HEADSEC.items()], F.lit("unknown")).alias("sec")), "SELECT block_key, coalesce(" + ", ".join(f"CASE WHEN {sql_hit('lower(text)', p)} THEN '{n}' END" for n, p in _HEADSEC.items()) + ", 'unknown') AS sec FROM blocks WHERE kind = 'heading'")
