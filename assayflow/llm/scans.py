@@ -1,11 +1,13 @@
 """Problem 3: noise in text from scanned pages.
 
 Method: a lexicon of words, neighbouring words and number contexts is counted over every
-text that was not read from a scan. Each scanned text becomes a stream of tokens without
-its line ends; running headers, footers and page numbers are cut out; then the cheapest
-path through a lattice is decoded (dynamic programming): a token may stay, be read through
-the confusions of scanners (rn for m, 0 for o ...), join its neighbour with or without a
-hyphen, or split in two, each at a price, unknown words at the highest. Paragraph
+text that was not read from a scan. Each scanned text becomes a stream of characters
+without its line ends; running headers, footers and page numbers are cut out; then the
+cheapest path through a lattice over the stream is decoded (dynamic programming). Known
+words between spaces are edges as they are; an unknown stretch may stay, be read through
+the confusions of scanners letter by letter (rn for m, 0 for o ...), be joined over spaces
+or hyphens with what follows, or be segmented into several words at any of its
+characters, each at a price, unknown words at the highest. Paragraph
 boundaries of the repaired text are chosen by a second dynamic programme over the lines.
 
 The damage of a row is read off the decoded path: ``hyphenation`` where two tokens were
@@ -36,6 +38,7 @@ import uuid
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from math import log
 
 import pandas as pd
 from pyspark import SparkFiles
@@ -331,6 +334,8 @@ class Decoder:
         self.known_cache: dict[str, bool] = {}
         # a lexicon that is partly in a file has no list of its beginnings; then every chain is followed to its end
         self.prefixes = sorted({k.lower() for k in self.words}) if isinstance(self.words, dict) else None
+        #: The longest word and its punctuation, beyond which no join can be a word.
+        self.longest = max(map(len, self.prefixes), default=0) + 8 if self.prefixes is not None else 200
         self.read_cache: dict[str, tuple[str, int] | None] = {}
 
     def known(self, token: str) -> bool:
@@ -463,6 +468,36 @@ class Decoder:
         key = normal(token)
         return key in self.words or key.lower() in self.words
 
+    def segments(self, token: str) -> list[str] | None:
+        """An unknown token as frequent words without their spaces: the fewest, of equally many the most frequent; None where it is none.
+
+        A dynamic programme over the token's characters; every piece but the last is a plain
+        word of two letters or more.
+        """
+        n = len(token)
+        best: list[tuple[int, float, int] | None] = [(0, 0.0, -1)] + [None] * n
+        for j in range(2, n + 1):
+            for i in range(max(0, j - self.longest), j - 1):
+                if best[i] is None:
+                    continue
+                piece = token[i:j]
+                if j < n and not piece.isalpha() or not self._in(piece):
+                    continue
+                count = self.words.get(normal(piece), 0)
+                if j < n and count <= 20:
+                    continue
+                way = (best[i][0] + 1, best[i][1] - log(count + 1), i)
+                if best[j] is None or way < best[j]:
+                    best[j] = way
+        if best[n] is None or best[n][0] < 2:
+            return None
+        out, j = [], n
+        while j > 0:
+            i = best[j][2]
+            out.append(token[i:j])
+            j = i
+        return out[::-1]
+
     def decode(self, text: str) -> tuple[list[str], set[str]]:
         """(tokens of the cheapest reading, damages)."""
         toks = text.split()
@@ -483,7 +518,7 @@ class Decoder:
                 c = best[i][0]
                 if c < best[i + 1][0]:
                     best[i + 1] = (c, i, t, "")
-                if t[-1] not in _MARKS:
+                if t[-1] not in _MARKS and (i + 1 == n or not toks[i + 1][0].islower() or cache.get(toks[i + 1]) or self.known(toks[i + 1])):
                     continue
             else:
                 relax(i, i + 1, self.STAY_UNKNOWN, t, "")
@@ -491,10 +526,9 @@ class Decoder:
                 if r:
                     relax(i, i + 1, self.CONFUSION * r[1], r[0], "misread")
                 if t[-1] not in _MARKS:
-                    for k in range(2, len(t) - 1):
-                        if t[:k].isalpha() and self._in(t[:k]) and self._in(t[k:]) and self.words.get(normal(t[:k]), 0) > 20:
-                            relax(i, i + 1, self.SPLIT, f"{t[:k]} {t[k:]}", "split")
-                            break
+                    parts = self.segments(t)
+                    if parts:
+                        relax(i, i + 1, self.SPLIT * (len(parts) - 1), " ".join(parts), "split")
             # joins over one or more marks: the word may be divided again and again
             word, cost, damage, j = t, 0.0, "", i
             while j + 1 < n and word[-1:] in _MARKS and len(word) > 1:
@@ -515,8 +549,14 @@ class Decoder:
                     if r:
                         relax(i, j + 1, cost - 1 + self.CONFUSION * r[1], r[0], (damage + " misread").strip())
                     relax(i, j + 1, cost - 1 + self.STAY_UNKNOWN / 2, word, damage)
-            if i + 1 < n and t.isalpha() and not cache.get(t) and not self.known(t) and toks[i + 1][:1].islower() and self._in(t + toks[i + 1]):
-                relax(i, i + 2, self.MERGE, t + toks[i + 1], "merge")
+            # joins over spaces: a word that the scanner broke into pieces, not all of them words
+            word, j, strange = t, i, not (cache.get(t) or self.known(t))
+            while word.isalpha() and j + 1 < n and toks[j + 1][:1].islower() and len(word) < self.longest:
+                j += 1
+                strange = strange or not (cache.get(toks[j]) or self.known(toks[j]))
+                word += toks[j]
+                if strange and self._in(word):
+                    relax(i, j + 1, self.MERGE * (j - i), word, "merge")
         out: list[str] = []
         damages: set[str] = set()
         j = n

@@ -60,3 +60,12 @@ def test_chains_of_confusions_in_any_word():
     slow = sc.Decoder(lex)
     slow.prefixes = None  # without the list of beginnings the same words are found
     assert all(slow.reading(t) == d.reading(t) for t in ("Acctatc", "buttcr", "1llumination", "i11umination", "acetate", "zzz"))
+
+
+def test_segments_and_joins_over_spaces():
+    lex = {"w": {"the": 99, "reaction": 50, "rate": 40, "of": 90, "inhibition": 30, "in": 80, "was": 70, "nanoparticles": 25, "na": 3, "rare": 21}, "b": {}, "n": {}}
+    d = sc.Decoder(lex)
+    assert d.segments("thereactionrate") == ["the", "reaction", "rate"] and d.segments("reaction") is None and d.segments("thexyz") is None
+    assert d.decode("thereactionrate was of in hibition") == (["the reaction rate", "was", "of", "inhibition"], set())
+    assert d.decode("the nano parti cles.") == (["the", "nanoparticles."], set())
+    assert d.decode("the rare rate of") == (["the", "rare", "rate", "of"], set())
