@@ -242,8 +242,11 @@ def absorb_names(names: DataFrame) -> DataFrame:
 
 
 def split_chunks(sentences: DataFrame, limit: int = 6000) -> DataFrame:
-    """(paper_id, page, chunk, n, chars): a page's sentences in order; a new chunk at the limit or when the assay changes."""
-    rows = sentences.where("text IS NOT NULL AND page IS NOT NULL").select("paper_id", "page", "sent_key", F.length("text").alias("size"), tx.first_label(F.lower("text"), banks.ASSAY_LABEL, "").alias("assay"))
+    """(paper_id, page, chunk, n, chars): a page's sentences in order; a new chunk at the limit or when the assay changes.
+
+    The sentences of a paper without a page are chunked together, with page null.
+    """
+    rows = sentences.where("text IS NOT NULL").select("paper_id", F.coalesce("page", F.lit(-1)).alias("page"), "sent_key", F.length("text").alias("size"), tx.first_label(F.lower("text"), banks.ASSAY_LABEL, "").alias("assay"))
 
     def chunk(key: tuple, sent: list[tuple]) -> list[tuple]:
         out: list[list] = []
@@ -257,7 +260,8 @@ def split_chunks(sentences: DataFrame, limit: int = 6000) -> DataFrame:
             assay = a or assay
         return [(*key, i, n, c) for i, (n, c) in enumerate(out)]
 
-    return by_group(rows, ["paper_id", "page"], ["sent_key"], chunk, "paper_id bigint, page int, chunk int, n int, chars int")
+    out = by_group(rows, ["paper_id", "page"], ["sent_key"], chunk, "paper_id bigint, page int, chunk int, n int, chars int")
+    return out.withColumn("page", F.nullif("page", F.lit(-1)))
 
 
 def merge_short_chunks(sizes: list[int], least: int) -> list[int]:

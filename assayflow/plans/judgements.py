@@ -433,3 +433,75 @@ def reply_text(reply: Column) -> Column:
 
 
 _add("jsn05_reply_text", lambda s, d: table(s, d, "raw_records").select("record_id", F.coalesce(reply_text(F.col("record_json")), F.col("record_json")).alias("body")))
+
+
+# What keeps a short writing from being an alias, and the endings of abbreviations.
+_NO_ALIAS = ["mgml", "mg/kg", "mmol", "nm", "μm", "ml", "figure", "fig.", "fig ", "table", "scheme", "ref", "suppl", "esm", "si ", "s1", "s2", "s3", "s4", "s5", "s6", "s7", "s8", "s9"]
+_STOP_WORDS = [
+    "of", "in", "the", "and", "or", "for", "with", "from", "by", "at", "to", "a", "an", "is", "are", "was", "were", "be", "been", "has", "have", "had", "not", "but", "as", "on", "it", "this", "that", "which", "can", "will",
+    "may", "also", "than", "into",
+]
+_ABBREVIATED = ["sazyyme", "sae", "nanozyme", "nanozymes", "nanoparticle", "nanoparticles", "nps", "nanosheet", "nanosheets"]
+_NUMERIC_START = r"^[0-9]|^[0-9\s\-+.,/]+$"
+_ELEMENT_ONLY = r"^[A-Z][a-z]?[0-9]*(?:O[0-9]*)?$|^[a-z]?[0-9]+$"
+
+
+def _count(c: Column, cls: str) -> Column:
+    return F.length(F.regexp_replace(c, f"[^{cls}]", ""))
+
+
+def valid_alias(c: Column) -> Column:
+    """A writing of 2 to 30 signs and at least two letters that is no number, unit, label or stop word."""
+    no = F.lit(False)
+    for w in _NO_ALIAS:
+        no = no | c.contains(w)
+    return F.length(c).between(2, 30) & ~c.rlike(_NUMERIC_START) & ~no & ~c.isin(_STOP_WORDS) & (_count(c, " ") <= 4) & (_count(c, "\\p{L}") >= 2)
+
+
+def could_be_alias(c: Column) -> Column:
+    """More than one sign, and no bare element, oxide or number."""
+    return ~c.rlike(_ELEMENT_ONLY) & (F.length(c) > 1)
+
+
+def likely_abbreviation(c: Column) -> Column:
+    """Up to ten signs with capitals for two fifths of the letters and digits, capitals with a plural s, or a usual ending."""
+    bare = F.length(F.regexp_replace(c, "[ \\-/]", ""))
+    upper = _count(c, "A-Z")
+    plural = c.endswith("s") & (F.length(c) >= 3) & F.left(c, F.length(c) - 1).rlike("[A-Z]") & ~F.left(c, F.length(c) - 1).rlike("[a-z]")
+    ending = F.lit(False)
+    for e in _ABBREVIATED:
+        ending = ending | F.lower(c).endswith(e)
+    return ((F.length(c) <= 10) & (upper >= bare * 0.4)) | plural | ending
+
+
+def _alias_query(s, d):
+    n = table(s, d, "records").where("selected_nanozyme.name IS NOT NULL").select("record_id", F.col("selected_nanozyme.name").alias("n"))
+    return n.select("record_id", valid_alias(F.lower("n")).alias("valid"), could_be_alias(F.col("n")).alias("possible"), likely_abbreviation(F.col("n")).alias("abbreviation"))
+
+
+_LOWER_N = "lower(n)"
+_add(
+    "flt30_alias_predicates",
+    _alias_query,
+    f"SELECT record_id, length({_LOWER_N}) BETWEEN 2 AND 30 AND NOT regexp_matches({_LOWER_N}, {quote(_NUMERIC_START)}) AND len(list_filter({_LIST(_NO_ALIAS)}, lambda w: contains({_LOWER_N}, w))) = 0 AND NOT list_contains({_LIST(_STOP_WORDS)}, {_LOWER_N}) "
+    f"AND length({_LOWER_N}) - length(replace({_LOWER_N}, ' ', '')) <= 4 AND length(regexp_replace({_LOWER_N}, '[^\\pL]', '', 'g')) >= 2 AS valid, NOT regexp_matches(n, {quote(_ELEMENT_ONLY)}) AND length(n) > 1 AS possible, "
+    "(length(n) <= 10 AND length(regexp_replace(n, '[^A-Z]', '', 'g')) >= 0.4 * length(replace(replace(replace(n, ' ', ''), '-', ''), '/', ''))) OR (suffix(n, 's') AND length(n) >= 3 AND regexp_matches(left(n, length(n) - 1), '[A-Z]') AND NOT regexp_matches(left(n, length(n) - 1), '[a-z]')) "
+    f"OR len(list_filter({_LIST(_ABBREVIATED)}, lambda e: suffix({_LOWER_N}, e))) > 0 AS abbreviation FROM (SELECT record_id, selected_nanozyme.name AS n FROM records WHERE selected_nanozyme.name IS NOT NULL)",
+)
+
+# Fields of former schemas that a record must not have.
+FORBIDDEN_FIELDS = ["nanozyme_systems", "catalytic_activities", "benchmark_records", "assay_graph", "systems_count", "activities_count", "single_record_assembler", "system_name"]
+
+
+def forbidden_fields(json: Column) -> Column:
+    """The forbidden fields of a record at its top, in its parts, and in the parts of those or the objects of its lists; empty for what is no object."""
+    keys = lambda j: F.coalesce(F.json_object_keys(j), F.array().cast("array<string>"))
+    parts = lambda j: F.coalesce(F.map_values(F.from_json(j, "map<string,string>")), F.array().cast("array<string>"))
+    items = lambda j: F.coalesce(F.from_json(F.when(j.startswith("["), j), "array<string>"), F.array().cast("array<string>"))
+    one = F.filter(parts(json), lambda p: p.isNotNull())
+    two = F.filter(F.flatten(F.transform(one, lambda p: F.concat(F.when(p.startswith("{"), parts(p)).otherwise(F.array().cast("array<string>")), items(p)))), lambda p: p.isNotNull())
+    found = F.concat(keys(json), F.flatten(F.transform(one, keys)), F.flatten(F.transform(two, keys)))
+    return F.array_intersect(F.array(*[F.lit(f) for f in FORBIDDEN_FIELDS]), found)
+
+
+_add("set01_forbidden_fields", lambda s, d: table(s, d, "raw_records").select("record_id", F.array_join(forbidden_fields(F.col("record_json")), "|").alias("forbidden")))

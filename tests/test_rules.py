@@ -134,3 +134,16 @@ def test_conflicts(spark):
 
 def test_lists_are_in_their_order():
     assert fixed.ANALYTES == sorted(fixed.ANALYTES) and fixed.SUBSTRATES == sorted(fixed.SUBSTRATES)
+
+
+def test_alias_predicates(spark):
+    _map(spark, ju.valid_alias, [("cat", True), ("c", False), ("12 nm", False), ("see table", False), ("with", False), ("x" * 31, False), ("a b c d e f", False), ("1a", False)])
+    _map(spark, ju.could_be_alias, [("CuO", False), ("CuS@C", True), ("Cu", False), ("Fe2O3", False), ("a1", False), ("x", False), ("ZIF-8", True)])
+    _map(spark, ju.likely_abbreviation, [("CNTs", True), ("MOF", True), ("some material", False), ("gold NPs", True)])
+
+
+def test_forbidden_fields(spark):
+    _map(spark, lambda t: F.array_join(ju.forbidden_fields(t), "|"), [
+        ('{"paper": {"system_name": 1}, "assay_graph": []}', "assay_graph|system_name"), ('{"a": {"b": {"systems_count": 2}}}', "systems_count"), ('{"a": [{"system_name": "x"}]}', "system_name"),
+        ('{"a": {"b": {"c": {"system_name": 1}}}}', ""), ("no json", ""), (None, ""), ("{}", ""),
+    ])
