@@ -147,3 +147,15 @@ def test_forbidden_fields(spark):
         ('{"paper": {"system_name": 1}, "assay_graph": []}', "assay_graph|system_name"), ('{"a": {"b": {"systems_count": 2}}}', "systems_count"), ('{"a": [{"system_name": "x"}]}', "system_name"),
         ('{"a": {"b": {"c": {"system_name": 1}}}}', ""), ("no json", ""), (None, ""), ("{}", ""),
     ])
+
+
+@pytest.mark.parametrize("name, text, want", [
+    ("Km", "Km(TMB) = 0.35 mM", (0.35, "mM", "named")), ("Km", "The Km for H2O2 was found to be 1.2 ± 0.1 mM here", (1.2, "mM", "named")), ("Km", "Km value of 3 × 10⁻² mM", (0.03, "mM", "plain")), ("Km", "Km 12.5 μM", (12.5, "μM", "plain")),
+    ("Km", "a Michaelis constant near 4 mM", (4.0, "mM", "words")), ("Km", "Km of this batch, measured twice, was 7e-3 M.", (0.007, "M", "far")), ("Km", "Km and Vmax were 0.35 mM and 3.2 × 10^-7 M s-1", (0.35, "mM", "joint")), ("Km", "Km was 3 mM/s", None), ("Km", "no constant", None),
+    ("Vmax", "Km and Vmax were 0.35 mM and 3.2 × 10⁻⁷ M s⁻¹", (3.2e-7, "M s-1", "joint")), ("Vmax", "Vmax = 5 μM/s", (5.0, "μM/s", "plain")), ("Vmax", "maximum velocity of about 2 mM/min", (2.0, "mM/min", "words")), ("Vmax", "Vmax of the plot. After correction 4e-8 M/s", (4e-8, "M/s", "window")),
+])
+def test_constants_with_units(spark, name, text, want):
+    from assayflow.plans import kinetic_texts as kt
+
+    got = spark.range(1).select(kt.stated(kt.plain_signs(F.lit(text)), name).alias("v")).first().v
+    assert (got is None) == (want is None) and (want is None or (got.value == pytest.approx(want[0]) and got[1:] == want[1:]))
