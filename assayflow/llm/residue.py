@@ -384,13 +384,12 @@ def propagate(reps: DataFrame, texts: DataFrame | Callable[[DataFrame], DataFram
     found = materialise(labelled.select("class").distinct(), "residue-round")
     frontier = found
     while True:  # each round adds a class, so it ends
-        lengths = reps.select("class", "n_shingles").join(frontier, "class", "left_semi").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi")).first()
+        front = materialise(reps.join(frontier, "class", "left_semi"), "residue-front")  # its size is known, so a small one is not met by a shuffle of all tables
+        lengths = front.agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi")).first()
         if lengths["lo"] is None:
             break
         near_len = reps.where(F.col("n_shingles").between(math.floor(MIN_SIMILARITY * lengths["lo"]), math.ceil(lengths["hi"] / MIN_SIMILARITY)))
-        front = materialise(near_len.join(frontier, "class", "left_semi"), "residue-front")
         probe = _tables(front, probe=True).select(F.col("class").alias("a"), F.col("hash").alias("ha"), F.col("n_shingles").alias("na"), "bucket", "band", "bits")
-        probe = materialise(probe, "residue-probe")  # its size is known, so a small one is not met by a shuffle of all tables
         pairs = (
             _tables(near_len, probe=False).join(probe, ["band", "bits", "bucket"])
             .where("a <> class AND bit_count(ha ^ hash) <= " + str(MAX_HAMMING))
@@ -398,7 +397,7 @@ def propagate(reps: DataFrame, texts: DataFrame | Callable[[DataFrame], DataFram
         )
         least = near_len.select("class", "n_shingles", _bucket().alias("bucket"), F.explode("prefix").alias("shingle"))
         asked = front.select(F.col("class").alias("a"), F.col("n_shingles").alias("na"), "prefix", _near_buckets().alias("bucket"))
-        asked = materialise(asked.select("a", "na", "bucket", F.explode("prefix").alias("shingle")), "residue-asked")
+        asked = asked.select("a", "na", "bucket", F.explode("prefix").alias("shingle"))
         pairs = pairs.unionByName(least.join(asked, ["bucket", "shingle"]).where("a <> class").select("a", "class", "na", "n_shingles"))
         pairs = (
             pairs.where(f"least(na, n_shingles) >= {MIN_SIMILARITY} * greatest(na, n_shingles)").select("a", "class").distinct().join(found, "class", "left_anti")
