@@ -9,7 +9,7 @@ goes to ``review``. The forest is fitted on at most ``max_train`` labelled rows
 quantity, chosen by a hash of the key; everything else covers every row.
 
 No shuffle of the table: reading is row-wise (one Arrow batch function) and written once
-to the shared folder, the training sample is a filtered scan and the model is a small object of fixed size.
+to the shared folder, only the training sample is shuffled and the models are small objects of fixed size.
 
 Defined results, one row per key and quantity: ``no_value`` (column and raw null or not a
 number), ``not_positive``, ``not_convertible`` (mass, activity, arbitrary or another
@@ -37,6 +37,7 @@ from ..runtime import materialise
 
 SOURCES = ("text", "table", "figure_caption", "figure_candidate")
 SUBSTRATE_BINS = 16
+SAMPLE_PARTITIONS = 4
 _OUT = "quantity string, number double, log_factor double, common_value bigint, unit_from string, status string"
 
 
@@ -65,7 +66,8 @@ def read_rows(kinetics: DataFrame, key: str = "kin_id") -> DataFrame:
     for q in QUANTITIES:
         args += [col(q, "double"), col(f"{q}_unit", "string"), col(f"{q}_raw", "string"), col(f"_evidence_{q}", "string")]
     rows = kinetics.select(F.col(key).alias("kin_id"), col("source", "string").alias("source"), col("substrate", "string").alias("substrate"), read(*args).alias("q"))
-    return rows.withColumn("others", F.expr("transform(q, x -> x.log_factor)")).selectExpr("kin_id", "source", "substrate", "others", "inline(q)")
+    # every array holds three rows; for plain ``inline`` the planner adds a test of the array that runs ``read`` a second time
+    return rows.withColumn("others", F.expr("transform(q, x -> x.log_factor)")).selectExpr("kin_id", "source", "substrate", "others", "inline_outer(q)")
 
 
 def _features(rows: DataFrame) -> DataFrame:
@@ -103,55 +105,66 @@ class UnitModel:
         return scored.select(*rows.columns, best.alias("predicted_log_factor"), self.calibrated(top).alias("confidence"))
 
 
-def train(rows: DataFrame, quantity: str, max_train: int = 20_000, min_train: int = 200, trees: int = 20, depth: int = 8, seed: int = 7) -> UnitModel | None:
-    """Fit on at most about ``max_train`` stated rows; a fifth of them is held out to calibrate."""
-    labelled = rows.where((F.col("quantity") == quantity) & (F.col("status") == "stated")).withColumn("label_key", F.round("log_factor", 3))
-    n = labelled.count()
-    if n < min_train:
-        return None
+def train(rows: DataFrame, max_train: int = 20_000, min_train: int = 200, trees: int = 20, depth: int = 8, seed: int = 7) -> dict[str, UnitModel]:
+    """A model per quantity, fitted on at most about ``max_train`` stated rows of each; a fifth of them is held out to calibrate.
+
+    Quantities with too few rows or one class have none. The sample is taken in one pass for all
+    quantities and put in a fixed order, so that the models do not depend on how the table is divided.
+    """
+    labelled = rows.where("status = 'stated'").withColumn("label_key", F.round("log_factor", 3))
+    sizes = {r["quantity"]: r["count"] for r in labelled.groupBy("quantity").count().collect() if r["count"] >= min_train}
+    if not sizes:
+        return {}
     h = F.pmod(F.xxhash64("kin_id", F.lit(seed)), F.lit(1_000_000))
-    sample = labelled.where(h < int(1_000_000 * min(1.0, max_train / n))).withColumn("held_out", F.pmod(F.xxhash64("kin_id", F.lit(seed + 1)), F.lit(5)) == 0)
-    sample = _features(sample).select("features", "label_key", "held_out").cache()
+    share = F.element_at(F.create_map(*[F.lit(x) for q, n in sizes.items() for x in (q, int(1_000_000 * min(1.0, max_train / n)))]), F.col("quantity"))
+    sample = labelled.where(F.col("quantity").isin(*sizes) & (h < share)).withColumn("held_out", F.pmod(F.xxhash64("kin_id", F.lit(seed + 1)), F.lit(5)) == 0)
+    sample = sample.repartition(SAMPLE_PARTITIONS, "kin_id").sortWithinPartitions("kin_id", "quantity", "number", "label_key")
+    sample = _features(sample).select("quantity", "features", "label_key", "held_out").cache()
     try:
-        counts = sample.groupBy("label_key").count().where("count >= 5").collect()
-        classes = sorted(r["label_key"] for r in counts)
-        if len(classes) < 2:
-            return None
-        label = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("label_key")).cast("double") - 1
-        sample_l = sample.withColumn("label", label).where("label >= 0")
-        forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, maxBins=64).fit(sample_l.where("NOT held_out"))
-        held = forest.transform(sample_l.where("held_out")).select(
-            F.array_max(vector_to_array("probability")).alias("score"), (F.col("prediction") == F.col("label")).cast("double").alias("right")
-        )
-        iso = IsotonicRegression(featuresCol="score", labelCol="right").fit(held)
-        return UnitModel(classes, forest, [float(x) for x in iso.boundaries], [float(x) for x in iso.predictions])
+        classes: dict[str, list[float]] = {}
+        for r in sample.groupBy("quantity", "label_key").count().where("count >= 5").collect():
+            classes.setdefault(r["quantity"], []).append(r["label_key"])
+        return {q: _fit(sample.where(F.col("quantity") == q), sorted(keys), trees, depth, seed) for q, keys in classes.items() if len(keys) >= 2}
     finally:
         sample.unpersist()
 
 
+def _fit(sample: DataFrame, classes: list[float], trees: int, depth: int, seed: int) -> UnitModel:
+    label = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("label_key")).cast("double") - 1
+    sample = sample.withColumn("label", label).where("label >= 0")
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, maxBins=64).fit(sample.where("NOT held_out"))
+    held = forest.transform(sample.where("held_out").coalesce(1)).select(
+        F.array_max(vector_to_array("probability")).alias("score"), (F.col("prediction") == F.col("label")).cast("double").alias("right")
+    )
+    iso = IsotonicRegression(featuresCol="score", labelCol="right").fit(held)
+    return UnitModel(classes, forest, [float(x) for x in iso.boundaries], [float(x) for x in iso.predictions])
+
+
 def harmonise(kinetics: DataFrame, key: str = "kin_id", threshold: float = 0.9, max_train: int = 20_000) -> DataFrame:
     """(kin_id, quantity, number, common_value, common_unit, unit_from, status, confidence), one row per key and quantity."""
     rows = materialise(read_rows(kinetics, key), "unit-rows")  # read once; training, prediction and output scan it
-    plain = rows.where("status <> 'no_unit'").withColumn("confidence", F.lit(None).cast("double"))
-    parts = [plain.drop("others", "source", "substrate", "log_factor")]
+    models = train(rows, max_train)
+    plain = rows.where("status <> 'no_unit'").withColumn("confidence", F.lit(None).cast("double")).drop("others", "source", "substrate", "log_factor")
+    parts = []
     for quantity, (_, size) in QUANTITIES.items():
         open_rows = rows.where((F.col("status") == "no_unit") & (F.col("quantity") == quantity))
-        model = train(rows, quantity, max_train)
-        if model is None:
+        if quantity not in models:
             done = open_rows.withColumn("status", F.lit("review")).withColumn("confidence", F.lit(None).cast("double"))
         else:
             sure = F.col("confidence") >= threshold
             value = F.round(F.col("number") * F.pow(F.lit(10.0), F.col("predicted_log_factor") - log10(Fraction(size)))).cast("bigint")
             done = (
-                model.predict(open_rows)
+                models[quantity]
+                .predict(open_rows)
                 .withColumn("common_value", F.when(sure, value))
                 .withColumn("unit_from", F.when(sure, F.lit("predicted")))
                 .withColumn("status", F.when(sure, F.lit("predicted")).otherwise(F.lit("review")))
             )
-        parts.append(done.select(parts[0].columns))
-    out = parts[0]
+        parts.append(done.select(plain.columns))
+    routed = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        routed = routed.unionByName(p)
+    out = plain.unionByName(materialise(routed, "unit-routes"))  # decided once, whichever rows are taken of the result
     unit = F.element_at(F.create_map(*[F.lit(x) for kv in COMMON_UNIT.items() for x in kv]), F.col("quantity"))
     return out.withColumn("common_unit", F.when(F.col("common_value").isNotNull(), unit))
 
@@ -159,6 +172,6 @@ def harmonise(kinetics: DataFrame, key: str = "kin_id", threshold: float = 0.9,
 def stated_values(rows: DataFrame) -> DataFrame:
     """(kin_id, quantity, common_value) of the values whose unit is given somewhere in the row.
 
-    ``rows`` are those of ``harmonise`` or, as these need no model, of ``read_rows``.
+    ``rows`` are those of ``harmonise``; those of ``read_rows``, without the forest's routes, give the same values.
     """
     return rows.where("status = 'stated' AND common_value IS NOT NULL").select("kin_id", "quantity", "common_value")

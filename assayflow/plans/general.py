@@ -9,7 +9,8 @@ from ..runtime import table
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unit_harmony.stated_values(unit_harmony.read_rows(table(spark, sf_dir, "kinetics")))
+    """The values with a stated unit, of a table that went through the whole method: reading, forests, calibration, routes."""
+    return unit_harmony.stated_values(unit_harmony.harmonise(table(spark, sf_dir, "kinetics")))
 
 
 def p4_harmonised(spark: SparkSession, sf_dir: str) -> DataFrame:

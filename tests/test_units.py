@@ -5,6 +5,7 @@ import pytest
 from assayflow.functions.charforms import canonical_form
 from assayflow.functions.units import read_quantity, read_unit, to_common
 from assayflow.operators import unit_harmony
+from assayflow.plans import general
 
 
 @pytest.mark.parametrize(
@@ -87,6 +88,43 @@ def test_operator_empty_and_untrainable(spark):
     assert {r.quantity: r.status for r in out} == {"Km": "review", "Vmax": "no_value", "kcat_Km": "no_value"}
 
 
+def _mixed_rows():
+    """Two scales that the magnitude tells apart but for an overlap, and three values without a unit."""
+    rows = [(i, "text", "TMB", 0.1 + i % 97 / 10, "mM", None, None, None, "e") for i in range(300)]
+    rows += [(i, "table", "OPD", 8.0 + i % 89, "μM", None, None, None, "e") for i in range(300, 600)]
+    return rows + [(1000, "text", "TMB", 0.5, None, None, None, None, "e"), (1001, "table", "OPD", 70.0, None, None, None, None, "e"), (1002, None, None, 9.0, None, None, None, None, "e")]
+
+
+def test_p4_found_goes_through_the_whole_method(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(_mixed_rows(), SCHEMA).write.parquet(f"{tmp_path}/kinetics.parquet")
+    routed = []
+    predict = unit_harmony.UnitModel.predict
+
+    def seen(model, rows):
+        out = predict(model, rows)
+        routed.extend(sorted((r.kin_id, r.quantity, r.confidence is not None) for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(unit_harmony.UnitModel, "predict", seen)
+    found = general.p4_found(spark, str(tmp_path)).collect()
+    assert routed == [(1000, "Km", True), (1001, "Km", True), (1002, "Km", True)]
+    assert sorted(r.kin_id for r in found) == list(range(600))  # a predicted unit stands nowhere, so it is no case
+    assert {r.kin_id: r.common_value for r in found}[300] == (8 + 300 % 89) * 1000
+
+
+def test_models_do_not_depend_on_partitions(spark):
+    rows = [(i, "text", "TMB", 0.1 + i * 7919 % 997 / 10, ("mM", "μM", "nM", None)[i * 31 % 4], None, None, None, "e") for i in range(800)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    one, many = (unit_harmony.harmonise(table.repartition(n)).collect() for n in (1, 7))
+    assert sorted(map(str, one)) == sorted(map(str, many))
+
+
+def test_rows_are_read_once(spark):
+    rows = unit_harmony.read_rows(spark.createDataFrame(_mixed_rows(), SCHEMA))
+    plan = unit_harmony.stated_values(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1
+
+
 @pytest.mark.parametrize(
     "raw,want",
     [("ｍＭ", "mM"), ("µM", "μM"), ("mМ", "mM"), ("υM", "uM"), ("кΩ" , "кΩ"), ("kΩ", "kΩ"), ("4 ºC", "4 °C"), ("n.º 5", "n.º 5"), ("Fe(Ⅲ)", "Fe(III)"), ("ﬁve", "five"),
